@@ -1,0 +1 @@
+"""No streaming operators: every source and operator in scope is a batch one."""
