@@ -69,6 +69,23 @@ def safe_ratio(numerator: Column, denominator: Column, otherwise: float = 0.0) -
     return F.coalesce(F.try_divide(numerator, denominator), F.lit(otherwise))
 
 
+def rounded(value: Column | str, places: int) -> Column:
+    """Round half to even, for the output edge only.
+
+    Six further digits are dropped first: sums of doubles differ in their last bits
+    with the order of the rows, and that noise must not decide a tie.
+    """
+    value = F.col(value) if isinstance(value, str) else value
+    for digits in (places + 6, places):
+        value = F.rint(value * 10.0**digits) / 10.0**digits
+    return value
+
+
+def fixed(value: Column, places: int) -> Column:
+    """A number as text with ``places`` decimals, rounded on its exact binary value."""
+    return F.call_function("format_number", value, F.lit("0." + "0" * places))
+
+
 def literal_array(values: Iterable) -> Column:
     return F.array(*[F.lit(v) for v in values])
 

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Beyond this many denominator degrees of freedom the F tail equals the chi-square
 # tail to about 1e-7, while log-gamma differences start losing digits.
@@ -81,13 +82,13 @@ def f_tail(f: float, d1: float, d2: float) -> float:
     return regularized_beta(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _f_sf(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     # A NaN result reaches Spark as null.
     return pd.Series([f_tail(*row) for row in zip(f, d1, d2)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _normal_two_sided(z: pd.Series) -> pd.Series:
     return z.abs().map(lambda v: math.erfc(v / math.sqrt(2.0)), na_action="ignore")
 

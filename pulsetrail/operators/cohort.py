@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsetrail.functions.scalar import epoch_micros, month_index
+from pulsetrail.functions.scalar import epoch_micros, month_index, rounded
 
 _WEEK_MICROS = 7 * 86_400 * 1_000_000
 
@@ -50,4 +50,4 @@ def cohort_analysis(
     )
     by_age = Window.partitionBy(cohort).orderBy(since)
     size = F.first("users").over(by_age)  # period 0 exists for every cohort
-    return counts.withColumn("retention", F.bround(F.col("users") / size, 4))
+    return counts.withColumn("retention", rounded(F.col("users") / size, 4))

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulsetrail.functions.scalar import fixed, rounded
 from pulsetrail.functions.tails import f_sf, normal_two_sided
 
 Z_95 = 1.96
@@ -66,14 +67,14 @@ def ab_test_analysis(
         .withColumn("_p", f_sf(t_squared, F.lit(1), df))
         .select(
             F.lit(metric_name).alias("metric"),
-            F.bround(c["mean"], 6).alias("control_mean"),
-            F.bround(t["mean"], 6).alias("treatment_mean"),
-            F.bround(lift, 4).alias("lift"),
-            F.format_string("%.2f%%", F.bround(lift * 100, 2)).alias("lift_pct"),
-            F.bround(p, 6).alias("p_value"),
+            rounded(c["mean"], 6).alias("control_mean"),
+            rounded(t["mean"], 6).alias("treatment_mean"),
+            rounded(lift, 4).alias("lift"),
+            F.concat(fixed(lift * 100, 2), F.lit("%")).alias("lift_pct"),
+            rounded(p, 6).alias("p_value"),
             F.coalesce(p < alpha, F.lit(False)).alias("significant"),
-            F.bround(F.col("_diff") - Z_95 * F.col("_se"), 6).alias("ci_lower"),
-            F.bround(F.col("_diff") + Z_95 * F.col("_se"), 6).alias("ci_upper"),
+            rounded(F.col("_diff") - Z_95 * F.col("_se"), 6).alias("ci_lower"),
+            rounded(F.col("_diff") + Z_95 * F.col("_se"), 6).alias("ci_upper"),
             c["n"].alias("control_size"),
             t["n"].alias("treatment_size"),
             _recommend(p, lift, alpha).alias("recommendation"),
@@ -107,11 +108,11 @@ def two_proportion_z(
         arms.withColumns({"_z": F.try_divide(p_t - p_c, se), "_lift": (p_t - p_c) / (p_c + EPSILON)})
         .withColumn("_p", normal_two_sided(z))
         .select(
-            F.bround(p_c, 6).alias("control_rate"),
-            F.bround(p_t, 6).alias("treatment_rate"),
-            F.bround(lift, 4).alias("lift"),
-            F.bround(z, 6).alias("z"),
-            F.bround(p, 6).alias("p_value"),
+            rounded(p_c, 6).alias("control_rate"),
+            rounded(p_t, 6).alias("treatment_rate"),
+            rounded(lift, 4).alias("lift"),
+            rounded(z, 6).alias("z"),
+            rounded(p, 6).alias("p_value"),
             F.coalesce(p < alpha, F.lit(False)).alias("significant"),
             n_c.alias("control_size"),
             n_t.alias("treatment_size"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.functions.scalar import is_event, safe_ratio
+from pulsetrail.functions.scalar import is_event, rounded, safe_ratio
 from pulsetrail.schemas import FUNNEL_STAGES
 
 
@@ -38,9 +38,9 @@ def _stage_struct(stages: Sequence[str], i: int) -> Column:
         F.lit(i).alias("stage_index"),
         F.lit(stages[i]).alias("stage"),
         users.alias("users"),
-        F.bround(safe_ratio(users, F.greatest(top, F.lit(1))), 4).alias("conversion_from_top"),
-        F.bround(from_prev, 4).alias("conversion_from_prev"),
-        F.bround(1.0 - from_prev if i else F.lit(0.0), 4).alias("dropoff_rate"),
+        rounded(safe_ratio(users, F.greatest(top, F.lit(1))), 4).alias("conversion_from_top"),
+        rounded(from_prev, 4).alias("conversion_from_prev"),
+        rounded(1.0 - from_prev if i else F.lit(0.0), 4).alias("dropoff_rate"),
     )
 
 
@@ -62,7 +62,7 @@ def compute_funnel(
     built = _reached(events, stages, entity, segment).select(
         *segment,
         F.array(*[_stage_struct(stages, i) for i in range(len(stages))]).alias("_stages"),
-        F.bround(safe_ratio(F.col(f"_{last}"), F.col("_0")), 4).alias("overall_conversion"),
+        rounded(safe_ratio(F.col(f"_{last}"), F.col("_0")), 4).alias("overall_conversion"),
     )
     if not segment:
         built = built.withColumn("segment", F.lit("overall"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pulsetrail.functions.scalar import present
+from pulsetrail.functions.scalar import present, rounded
 from pulsetrail.schemas import ERROR_CODES, EVENT_TYPES, EVENTS, OK_CODE
 
 
@@ -76,6 +76,6 @@ def quality_report(
         .withColumnRenamed("_total", "total_rows")
         .withColumn(
             "bad_share",
-            F.bround(F.coalesce(F.try_divide("bad_rows", "total_rows"), F.lit(0.0)), 6),
+            rounded(F.coalesce(F.try_divide("bad_rows", "total_rows"), F.lit(0.0)), 6),
         )
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.functions.scalar import MONEY, epoch_to_ts, is_event, whole_days
+from pulsetrail.functions.scalar import MONEY, epoch_to_ts, is_event, rounded, whole_days
 from pulsetrail.materialize import materialize
 from pulsetrail.operators.ordering import equal_frequency_cuts, group_number
 from pulsetrail.schemas import RFM_SEGMENTS
@@ -121,8 +121,8 @@ def rfm_rollup(rfm: DataFrame, segments: Sequence[str] = RFM_SEGMENTS) -> DataFr
     total = rfm.agg(F.count(F.lit(1))).scalar()
     return rfm.groupBy("segment").agg(
         F.count(F.lit(1)).alias("count"),
-        F.bround(F.count(F.lit(1)) * 100 / total, 1).alias("pct"),
-        F.bround((F.sum(F.col("monetary").cast(MONEY)) / F.count("monetary")).cast("double"), 2).alias(
+        rounded(F.count(F.lit(1)) * 100 / total, 1).alias("pct"),
+        rounded((F.sum(F.col("monetary").cast(MONEY)) / F.count("monetary")).cast("double"), 2).alias(
             "avg_revenue"
         ),
     )

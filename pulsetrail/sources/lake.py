@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from pulsetrail.functions.scalar import rounded
 from pulsetrail.schemas import EVENTS, HOURLY
 
 
@@ -103,7 +104,7 @@ def storage_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Object count and size in megabytes below a path, as one row."""
     return _files(spark, path).agg(
         F.count(F.lit(1)).alias("total_objects"),
-        F.bround(F.coalesce(F.sum("length"), F.lit(0)) / 1e6, 2).alias("total_size_mb"),
+        rounded(F.coalesce(F.sum("length"), F.lit(0)) / 1e6, 2).alias("total_size_mb"),
     )
 
 
