@@ -144,7 +144,9 @@ def latest_points_q(spark: SparkSession, sf: str) -> DataFrame:
 
 def _saved(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        source = {"hourly": canonical_hourly, "events": canonical_events}
+        # Only the revenue by region needs the region join.
+        events = canonical_events if name == "raw_daily_revenue" else base_events
+        source = {"hourly": canonical_hourly, "events": events}
         tables = {t: source[t](spark, sf) for t in SAVED_QUERIES[name][1]}
         return _rounded(run_saved_query(spark, name, tables, STAGES))
 

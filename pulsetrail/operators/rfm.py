@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,7 +114,7 @@ def _rank_score(name: str) -> Column:
     return group_number(F.col(f"_{name}_cuts"), F.col("_n"), [name, "user_id"], QUINTILES)
 
 
-def rfm_rollup(rfm: DataFrame, segments: Sequence[str] = RFM_SEGMENTS) -> DataFrame:
+def rfm_rollup(rfm: DataFrame) -> DataFrame:
     """Users, share and mean revenue per segment."""
     total = rfm.agg(F.count(F.lit(1))).scalar()
     return rfm.groupBy("segment").agg(

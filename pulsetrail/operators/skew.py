@@ -25,32 +25,31 @@ def attach_by_key(
     ``weight`` is the feature column with the number of rows its key has, so hot
     keys are known before the join. A key with more than 1/``parts`` of all rows is
     spread over enough salts to bring each salt back under that share; every other
-    key keeps one salt. Since the weights add up to the total there are fewer than
-    ``parts`` hot keys and fewer than ``2 * parts`` copies, whatever the data size:
-    that bounds both the broadcast list and the replication.
+    key keeps one. Since the weights add up to the total there are fewer than
+    ``parts`` hot keys and fewer than ``2 * parts`` extra copies, whatever the data
+    size: that bounds both the broadcast list and the replication. Without a hot key
+    the join is a plain one.
 
     AQE's own skew split does not apply here, because the feature side of the join
-    is usually an aggregate and not a plain shuffle. ``features`` is read three
+    is usually an aggregate and not a plain shuffle. ``features`` is read up to three
     times, so pass a written table or a ``materialize``d frame.
     """
     parts = parts or shuffle_partitions(rows)
     keys = list(keys)
-    total = features.agg(F.sum(weight)).scalar()
-    fanned = features.withColumn(
-        "_fan", F.greatest(F.lit(1), F.ceil(F.col(weight) * parts / total))
+    total, largest = features.agg(F.sum(weight), F.max(weight)).first()
+    if not total or largest * parts <= total:
+        return rows.join(features, keys, "left")
+    share = total / parts
+    fan = F.ceil(F.col(weight) / share)
+    hot = features.where(F.col(weight) > share).select(*keys, fan.alias("_fan"))
+    no_salt = F.lit(0).cast("bigint")
+    salt = F.pmod(F.xxhash64(*spread_by), F.col("_fan"))
+    salted_rows = (
+        rows.join(F.broadcast(hot), keys, "left")
+        .withColumn("_salt", F.coalesce(salt, no_salt))
+        .drop("_fan")
     )
-    hot = fanned.where("_fan > 1").select(*keys, "_fan")
-    salted_rows = rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt",
-        F.when(
-            F.col("_fan").isNotNull(), F.pmod(F.xxhash64(*spread_by), F.col("_fan"))
-        ).otherwise(F.lit(0).cast("bigint")),
-    )
-    salted_features = fanned.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_fan") - 1))
-    ).drop("_fan")
-    return (
-        salted_rows.drop("_fan")
-        .join(salted_features, [*keys, "_salt"], "left")
-        .drop("_salt")
+    salted_features = features.withColumn(
+        "_salt", F.explode(F.sequence(no_salt, F.greatest(fan, F.lit(1)) - 1))
     )
+    return salted_rows.join(salted_features, [*keys, "_salt"], "left").drop("_salt")

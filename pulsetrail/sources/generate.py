@@ -17,6 +17,7 @@ from pulsetrail.functions.scalar import (
     HOUR_S,
     epoch_to_ts,
     epoch_weekday,
+    exact_sum,
     hour_of_day,
     is_event,
     literal_array,
@@ -219,7 +220,7 @@ def dataset_profile(events: DataFrame) -> DataFrame:
     totals = events.agg(
         F.count(F.lit(1)).alias("total_events"),
         F.coalesce(F.avg(is_event("error").cast("double")), F.lit(0.0)).alias("error_rate"),
-        F.sum(F.col("revenue").cast("decimal(18,6)")).cast("double").alias("total_revenue"),
+        exact_sum("revenue").alias("total_revenue"),
         F.avg("response_time_ms").alias("avg_response_ms"),
         F.min("timestamp").alias("_from"),
         F.max("timestamp").alias("_to"),
