@@ -149,6 +149,20 @@ def _user(row: Column, users: int, seed: int) -> Column:
     return _padded("U", number, 7)
 
 
+def generate_diurnal_timestamps(
+    spark: SparkSession,
+    n: int,
+    start: int = START_EPOCH,
+    days: int = DAYS,
+    seed: int = 42,
+    partitions: int | None = None,
+) -> DataFrame:
+    """``n`` event times alone: (id, timestamp in epoch seconds)."""
+    ids = spark.range(0, n, 1, partitions)
+    drawn = ids.select("id", *_uniforms(F.col("id"), seed))
+    return drawn.select("id", diurnal_seconds(start, days).alias("timestamp"))
+
+
 def generate_events(
     spark: SparkSession,
     n: int = 10_000_000,
