@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pulsetrail.functions.scalar import filled
 from pulsetrail.materialize import materialize
 from pulsetrail.operators.ordering import order_statistics
+from pulsetrail.operators.skew import shuffle_partitions
 
 TREES = 100
 SAMPLE_ROWS = 256
@@ -84,6 +85,9 @@ def _sample(rows: DataFrame, id_cols: Sequence[str], trees: int, size: int, seed
             ),
         )
     )
+    # A set number of partitions: the sample is tiny, so AQE would put all trees into
+    # one task, but building them is the expensive part.
+    chosen = chosen.repartition(min(trees, shuffle_partitions(rows)), "tree")
     nearest = Window.partitionBy("tree").orderBy(draw(F.col("tree")), *id_cols)
     return chosen.withColumn("_place", F.row_number().over(nearest)).where(F.col("_place") <= size)
 

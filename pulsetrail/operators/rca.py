@@ -71,6 +71,10 @@ ERROR_ACTION_LEVEL = 0.05
 # ---- Correlation ----------------------------------------------------------------
 
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def correlate_pairs(df: DataFrame, targets: Mapping[str, Sequence[str]]) -> DataFrame:
     """Pearson correlation of each target with its features, one aggregate for all.
 
@@ -83,29 +87,28 @@ def correlate_pairs(df: DataFrame, targets: Mapping[str, Sequence[str]]) -> Data
     if not pairs:
         return df.sparkSession.createDataFrame([], _CORRELATION_SCHEMA)
     columns = list(dict.fromkeys(name for pair in pairs for name in pair))
-    once = dict.fromkeys(tuple(sorted(pair)) for pair in pairs)
-    sums = df.select(*[filled(c).alias(c) for c in columns]).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.stddev_samp(c).alias(f"_sd/{c}") for c in columns],
-        *[F.covar_samp(a, b).alias(f"_r/{a}/{b}") for a, b in once],
+    at = {name: i for i, name in enumerate(columns)}
+    once = dict.fromkeys(tuple(sorted((at[t], at[f]))) for t, f in pairs)
+    # SQL text instead of Column calls: 42 pairs make hundreds of expressions, and
+    # each call from Python costs milliseconds.
+    sums = df.select(*[filled(c).alias(f"x{i}") for c, i in at.items()]).selectExpr(
+        "count(1) AS n",
+        *[f"stddev_samp(x{i}) AS sd{i}" for i in at.values()],
+        *[f"covar_samp(x{i}, x{j}) AS c{i}_{j}" for i, j in once],
     )
-    rows = [
-        F.struct(
-            F.lit(target).alias("target"),
-            F.lit(feature).alias("feature"),
-            F.lit(wanted[target].index(feature)).alias("_order"),
-            F.when(
-                F.col(f"_sd/{feature}") >= TINY,
-                # corr() itself raises on a constant column in ANSI mode.
-                F.try_divide(
-                    F.col("_r/" + "/".join(sorted((target, feature)))),
-                    F.col(f"_sd/{target}") * F.col(f"_sd/{feature}"),
-                ),
-            ).alias("_r"),
-            F.col("_n"),
+
+    def pair_row(target: str, feature: str) -> str:
+        i, j = sorted((at[target], at[feature]))
+        order = wanted[target].index(feature)
+        # corr() itself raises on a constant column in ANSI mode.
+        corr = f"try_divide(c{i}_{j}, sd{i} * sd{j})"
+        return (
+            f"named_struct('target', {_literal(target)}, "
+            f"'feature', {_literal(feature)}, '_order', {order}, "
+            f"'_r', CASE WHEN sd{at[feature]} >= {TINY} THEN {corr} END, '_n', n)"
         )
-        for target, feature in pairs
-    ]
+
+    rows = F.expr(f"explode(array({', '.join(pair_row(*pair) for pair in pairs)}))")
     r = F.col("_r")
     r_squared = r * r
     # |r| = 1 leaves no residual: F is infinite and its tail zero.
@@ -115,7 +118,7 @@ def correlate_pairs(df: DataFrame, targets: Mapping[str, Sequence[str]]) -> Data
     p = F.when(F.col("_n") <= 2, 1.0).otherwise(f_sf(statistic, F.lit(1), F.col("_n") - 2))
     ranking = Window.partitionBy("target").orderBy(F.desc(F.abs("pearson_r")), "_order")
     return (
-        sums.select(F.explode(F.array(*rows)).alias("_row"))
+        sums.select(rows.alias("_row"))
         .select("_row.*")
         .where(r.isNotNull())
         .withColumn("_p", p)
@@ -289,9 +292,12 @@ def granger_tests(
         *[term("_x", k) for k in range(1, max_lag + 1)],
         F.get("_y", F.lit(0)),
     ]
-    products = [F.sum(a * b) for a, b in combinations_with_replacement(vector, 2)]
-    sums = expanded.groupBy(*series, "target", "candidate", "lag").agg(
-        F.array(*products).alias("_gram"), F.max("_rows").alias("n")
+    width = range(len(vector))
+    products = ", ".join(f"sum(v[{i}] * v[{j}])" for i, j in combinations_with_replacement(width, 2))
+    sums = (
+        expanded.withColumn("v", F.array(*vector))
+        .groupBy(*series, "target", "candidate", "lag")
+        .agg(F.expr(f"array({products})").alias("_gram"), F.max("_rows").alias("n"))
     )
     test = _granger_test("_gram", "lag", F.lit(max_lag), "n")
     return sums.withColumn("_test", test).select(

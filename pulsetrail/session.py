@@ -23,11 +23,19 @@ RUNTIME_CONF = {
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
 }
 
+# Settings a session can only be created with.
+STATIC_CONF = {
+    "spark.ui.enabled": "false",
+    # Recording the call site of every Column costs more than building it: seconds
+    # for the wider plans. Set it to true when chasing an error.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def build_session(app_name: str = "pulsetrail", **conf: str) -> SparkSession:
     """Create (or fetch) a session with the library's settings."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {"spark.ui.enabled": "false", **RUNTIME_CONF, **conf}.items():
+    for key, value in {**STATIC_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
