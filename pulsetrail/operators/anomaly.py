@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pulsetrail.functions.scalar import filled, fixed, literal_array, present, rounded
@@ -134,14 +134,21 @@ def zscore_detection(
     )
 
 
+def _literals(row: Row | None, names: Sequence[str]) -> list[Column]:
+    """Fields of a summary row as double literals; null when there is no row."""
+    return [F.lit(None if row is None else row[name]).cast("double") for name in names]
+
+
 def iqr_detection(
     df: DataFrame, metric: str, multiplier: float = 2.0, order: Sequence[str] = ORDER
 ) -> DataFrame:
     """Rows outside the interquartile fences of the whole table."""
     time, *ties = present(df, order)
     rows = df.withColumn(metric, filled(metric)).select(time, metric, *ties)
-    quartiles = order_statistics(rows, metric, (0.25, 0.5, 0.75), [time, *ties])
-    q1, q2, q3 = F.col("_q.q0"), F.col("_q.q1"), F.col("_q.q2")
+    # Three numbers, used a dozen times below: as literals they stay out of the plan,
+    # where a subquery would be copied to every place it is used.
+    quartiles = order_statistics(rows, metric, (0.25, 0.5, 0.75), [time, *ties]).first()
+    q1, q2, q3 = _literals(quartiles, ("q0", "q1", "q2"))
     value, width = F.col(metric), q3 - q1
     low, high = q1 - multiplier * width, q3 + multiplier * width
     deviation = (value - q2) / (width + TINY)
@@ -149,8 +156,7 @@ def iqr_detection(
         f"{metric}=%s outside IQR bounds [%s, %s]", *[fixed(v, 2) for v in (value, low, high)]
     )
     return (
-        rows.withColumn("_q", quartiles.select(F.struct("q0", "q1", "q2")).scalar())
-        .where((value < low) | (value > high))
+        rows.where((value < low) | (value > high))
         .select(
             F.col(time).alias("timestamp"),
             _finding(metric, value, q2, deviation, "iqr", deviation, text).alias("_hit"),
@@ -184,27 +190,30 @@ def ewma_detection(
 
     def gather(rows: DataFrame, over: WindowSpec) -> DataFrame:
         frame = over.rowsBetween(-reach, Window.currentRow)
-        point = F.struct(F.col(RANK).alias("at"), F.col(metric).cast("double").alias("x"))
+        # A struct, because collect_list would drop nulls and with them their age.
+        point = F.struct(F.col(metric).cast("double").alias("x"))
         return rows.withColumn("_seen", F.collect_list(point).over(frame))
 
-    def weight(point: Column) -> Column:
-        return F.pow(F.lit(1.0 - alpha), F.col(RANK) - point["at"])
-
-    def total(of) -> Column:
-        return F.aggregate(
-            F.filter("_seen", lambda p: p["x"].isNotNull()),
-            F.lit(0.0),
-            lambda acc, p: acc + of(p),
+    def fade(total: Column, share: float, addend: Column) -> Column:
+        return total * share + F.coalesce(addend, F.lit(0.0))
+
+    def step(sums: Column, point: Column) -> Column:
+        """Age the sums by one row and add the next: weights 1 for the newest row."""
+        x = point["x"]
+        one = F.when(x.isNotNull(), F.lit(1.0))
+        return F.struct(
+            fade(sums["w"], 1.0 - alpha, one).alias("w"),
+            fade(sums["w2"], (1.0 - alpha) ** 2, one).alias("w2"),
+            fade(sums["wx"], 1.0 - alpha, x).alias("wx"),
+            fade(sums["wxx"], 1.0 - alpha, x * x).alias("wxx"),
         )
 
+    nothing = F.struct(*[F.lit(0.0).alias(name) for name in ("w", "w2", "wx", "wxx")])
     ranked = _ordered(df, series, order, [metric])
-    summed = over_frame(ranked, gather, reach, series=series).withColumns(
-        {
-            "_w": total(weight),
-            "_w2": total(lambda p: weight(p) * weight(p)),
-            "_wx": total(lambda p: weight(p) * p["x"]),
-            "_wxx": total(lambda p: weight(p) * p["x"] * p["x"]),
-        }
+    summed = (
+        over_frame(ranked, gather, reach, series=series)
+        .withColumn("_sums", F.aggregate("_seen", nothing, step))
+        .withColumns({f"_{name}": F.col(f"_sums.{name}") for name in ("w", "w2", "wx", "wxx")})
     )
     mean = F.try_divide("_wx", "_w")
     biased = F.greatest(F.try_divide("_wxx", "_w") - mean * mean, F.lit(0.0))
@@ -295,13 +304,11 @@ def seasonal_detection(
         F.avg("remainder").alias("_mean"), F.stddev_samp("remainder").alias("_sd")
     )
     if series:
-        scored = parts.join(stats, list(series))
+        scored, mean, sd = parts.join(stats, list(series)), F.col("_mean"), F.col("_sd")
     else:
-        scored = parts.withColumn("_r", stats.select(F.struct("_mean", "_sd")).scalar()).select(
-            "*", "_r._mean", "_r._sd"
-        )
-    z = F.when(F.col("_sd") >= TINY, (F.col("remainder") - F.col("_mean")) / F.col("_sd"))
-    return scored.withColumn("z", z).where(F.abs("z") >= threshold).drop("_mean", "_sd", "_r")
+        scored, (mean, sd) = parts, _literals(stats.first(), ("_mean", "_sd"))
+    z = F.when(sd >= TINY, (F.col("remainder") - mean) / sd)
+    return scored.withColumn("z", z).where(F.abs("z") >= threshold).drop("_mean", "_sd")
 
 
 def detect_all(

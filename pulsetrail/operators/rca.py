@@ -518,29 +518,28 @@ def target_reports(
         "target", F.col("feature").alias("candidate"), "position"
     )
     tests = granger_tests(hourly, columns, leaders.drop("position"), max_lag, series)
-    granger = granger_summary(tests, max_lag, series).join(leaders, ["target", "candidate"])
+    # With several series a candidate keeps its strongest one, so a report stays small.
+    outcome = ["best_lag", "p_value", "interpretation", "error"]
+    strongest = F.struct(F.coalesce(F.col("p_value"), F.lit(2.0)), "best_lag", "interpretation")
+    granger = (
+        granger_summary(tests, max_lag, series)
+        .join(leaders, ["target", "candidate"])
+        .groupBy("target", "candidate", "position")
+        .agg(
+            F.bool_or("granger_causes").alias("granger_causes"),
+            F.min_by(F.struct(*series, *outcome), strongest).alias("_best"),
+        )
+        .select("target", "candidate", "position", "granger_causes", "_best.*")
+    )
     by_target = granger.groupBy("target").agg(
-        _by_position(
-            [
-                *series,
-                "candidate",
-                "granger_causes",
-                "best_lag",
-                "p_value",
-                "interpretation",
-                "error",
-            ],
-            TOP_GRANGER,
-        ).alias("granger_causality"),
-        F.array_distinct(
-            F.transform(
-                F.sort_array(
-                    F.collect_list(
-                        F.when(F.col("granger_causes"), F.struct("position", "candidate"))
-                    )
-                ),
-                lambda e: e["candidate"],
-            )
+        _by_position([*series, "candidate", "granger_causes", *outcome], TOP_GRANGER).alias(
+            "granger_causality"
+        ),
+        F.transform(
+            F.sort_array(
+                F.collect_list(F.when(F.col("granger_causes"), F.struct("position", "candidate")))
+            ),
+            lambda e: e["candidate"],
         ).alias("leading_indicators"),
     )
     guess = hypothesis(*[F.col(c) for c in ("target", "feature", "direction", "pearson_r")])

@@ -134,3 +134,14 @@ def test_segments_on_one_side_only(spark):
     assert got["device", "m"].primary_driver == "new" and got["device", "m"].driver_change > 1e9
     empty = rca.segment_anomaly(df, "v", "2020-01-01 00:00:00", "2020-01-01 00:00:00")
     assert empty.count() == 0
+
+
+def test_report_per_series_stays_one_row(spark):
+    hourly = to_spark(spark, hourly_frame(300))
+    anomalies = spark.sql(
+        "SELECT 'error_rate' AS metric, TIMESTAMP_NTZ'2024-01-03 02:00:00' AS timestamp, 0.01D AS value"
+    )
+    rows = rca.rca_report(hourly, anomalies, series=("region", "device")).collect()
+    assert len(rows) == 1 and len(rows[0].granger_causality) == 3
+    assert rows[0].recommended_actions == []  # below the error level
+    assert {g.region for g in rows[0].granger_causality} <= {"us-east-1", "us-west-2", "eu-west-1"}
