@@ -26,6 +26,7 @@ from pulsetrail.sources.generate import (
     HOUR_WEIGHTS,
     REGION_SHARES,
     dataset_profile,
+    generate_diurnal_timestamps,
     generate_events,
 )
 
@@ -257,3 +258,9 @@ def test_saved_queries(spark):
     assert len(page["rows"]) == 50 and page["columns"][0] == "hour_bucket" and page["elapsed_ms"] > 0
     funnel = run_saved_query(spark, "funnel_conversion", tables).collect()
     assert funnel[0].relative_pct == 100.0 and len(funnel) == 6
+
+
+def test_diurnal_timestamps_are_the_generators(spark):
+    times = generate_diurnal_timestamps(spark, 500).select("timestamp")
+    assert times.exceptAll(generate_events(spark, 500).select("timestamp")).count() == 0
+    assert times.count() == 500
