@@ -1,0 +1,12 @@
+"""SQL equivalents, for DuckDB, of the queries that SQL can express."""
+
+from __future__ import annotations
+
+OP2 = """
+WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS h FROM documents),
+g AS (SELECT h, max(doc_id) AS keep_id, count(*) AS n FROM d GROUP BY h)
+SELECT doc_id, keep_id, n AS group_size, doc_id = keep_id AS kept, h AS text_sha256
+FROM d JOIN g USING (h)
+"""
+
+SQL = {"op2_exact_dedup": OP2}
