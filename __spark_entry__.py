@@ -421,6 +421,20 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# The text operators and their pipeline can be left out of an installation.
+try:
+    import corpus_pipeline
+    from pulsetrail.llm import oracles as llm_oracles
+    from pulsetrail.llm import queries as llm_queries
+except ImportError:
+    _LLM_QUERIES, _LLM_SQL = {}, {}
+else:
+    _LLM_QUERIES = {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    _LLM_SQL = dict(llm_oracles.SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        _LLM_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def _prepared(
     query: Callable[[SparkSession, str], DataFrame],
 ) -> Callable[[SparkSession, str], DataFrame]:
@@ -436,8 +450,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _prepared(query) for name, query in _QUERIES.items()}
+    return {name: _prepared(query) for name, query in {**_QUERIES, **_LLM_QUERIES}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    return {**oracle.oracle_sql(), **_LLM_SQL}
