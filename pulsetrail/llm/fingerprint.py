@@ -89,25 +89,75 @@ def merge(sketches: DataFrame, keys: list[str], sketch: str = "sketch", fraction
     return joined.select(*keys, F.sort_array(both).alias(sketch))
 
 
+def _neighbours(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """Per document: its key, the key of the document before it, and that one's cut.
+
+    Only ids, keys and lengths are ordered. The second value tells whether rows repeat.
+    """
+    keyed = materialize(rows.select("doc_id", "_key", F.length("text").alias("_n")))
+    ranked = materialize(
+        global_rank(keyed.distinct(), [F.col("doc_id").desc_nulls_last(), F.col("_key")])
+    )
+    total = ranked.count()
+    repeated = keyed.count() != total
+    release(keyed)
+    reader = ranked.select(
+        F.when(F.col(RANK) == total, F.lit(1)).otherwise(F.col(RANK) + 1).cast("long").alias(RANK),
+        F.col("_key").alias("_to"),
+        F.floor(F.col("_n") / 3).cast("int").alias("_cut"),
+    )
+    pairs = materialize(ranked.select("_key", RANK).join(reader, RANK).drop(RANK))
+    release(ranked)
+    return pairs, repeated
+
+
 def compare_edited(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
-    """Fingerprint every text and an edited copy, and compare.
+    """Fingerprint every text and an edited copy of it, and compare.
 
     The edited text has its last floor(n/3) code points replaced by the first as many of
     the next document in descending order of id; the next of the last is the first.
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next, containment_edited.
+    near_edited, near_next (resemblance) and containment_edited. Rows that repeat an id
+    and a text are one document.
+
+    Texts are shuffled once, by a key of their own: every document sends its opening and
+    its sketch to the one document that reads them, where the same shuffle has put it.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    keyed = rows.select("doc_id", F.sha2("text", 256).alias("_sha"), F.length("text").cast("long").alias("n_chars"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("_sha")]
-    ranked = materialize(global_rank(keyed, order))
-    total = ranked.count()
-    # Row r reads from row r + 1, so row r + 1 sends its opening and its sketch to row r.
-    wanted = ranked.select(
-        F.when(F.col(RANK) == total, F.lit(1)).otherwise(F.col(RANK) + 1).cast("long").alias(RANK),
-        F.floor(F.col("n_chars") / 3).cast("int").alias("cut"),
-        F.col(RANK).alias("to"),
+    identity = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
+        "_key", F.md5(identity)
+    )
+    pairs, repeated = _neighbours(rows)
+    placed = rows.join(pairs, "_key")
+    openings = with_sketch(placed, "text", "next_sketch", fraction).select(
+        F.col("_to").alias("_key"),
+        F.substring(F.col("text"), F.lit(1), F.col("_cut")).alias("_opening"),
+        "next_sketch",
+    )
+    if repeated:
+        openings = openings.dropDuplicates(["_key"])
+        placed = placed.dropDuplicates(["_key"])
+    n = F.length("text")
+    joined = (
+        placed.select("_key", "doc_id", "text")
+        .join(openings, "_key")
+        .withColumn("n_chars", n.cast("long"))
+        .withColumn(
+            "edited",
+            F.concat(
+                F.substring(F.col("text"), F.lit(1), (n - F.floor(n / 3)).cast("int")), "_opening"
+            ),
+        )
+    )
+    both = with_sketch(with_sketch(joined, "text", "sketch", fraction), "edited", "edited_sketch", fraction)
+    sketch, edited = F.col("sketch"), F.col("edited_sketch")
+    return both.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        as_text(sketch).alias("fingerprint"),
+        as_text(edited).alias("edited_fingerprint"),
+        resemblance(sketch, edited).alias("near_edited"),
+        resemblance(sketch, F.col("next_sketch")).alias("near_next"),
+        containment(sketch, edited).alias("containment_edited"),
     )
-    numbered = _numbered(rows, ranked)
-    sketched = with_sketch(numbered, "text", "sketch", fraction)
-    return sketched, wanted, ranked, total, release

@@ -134,7 +134,9 @@ def _mark(text: Column) -> Column:
 
 
 def _literal(key: Row) -> Column:
-    return F.struct(*[F.lit(value) for value in key])
+    kinds = {"finish": "double", "no_source": "boolean", "src": "string"}
+    fields = key.asDict().items()
+    return F.struct(*[F.lit(v).cast(kinds.get(name, "long")).alias(name) for name, v in fields])
 
 
 def _finish(done: Column) -> Column:

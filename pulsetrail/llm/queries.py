@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pulsetrail.llm.exact_dedup import exact_duplicates
+from pulsetrail.llm.fingerprint import compare_edited
+from pulsetrail.llm.mixing import plan_mix
 from pulsetrail.llm.secret_scan import find_secrets
 
 
@@ -22,7 +24,18 @@ def op2_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_duplicates(_documents(spark, sf), digest_all=True)
 
 
+def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    plan = plan_mix(_documents(spark, sf))
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return compare_edited(_documents(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_mixing": op3_mixing,
+    "op8_fingerprints": op8_fingerprints,
 }
