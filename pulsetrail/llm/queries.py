@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pulsetrail.llm.exact_dedup import exact_duplicates
 from pulsetrail.llm.fingerprint import compare_edited
 from pulsetrail.llm.mixing import plan_mix
+from pulsetrail.llm.orc_tokens import token_index, write_token_ids
 from pulsetrail.llm.secret_scan import find_secrets
+from pulsetrail.materialize import scratch_path
+
+# Vocabulary files are read where they are installed.
+TOKENIZERS = "/opt/tokenizers"
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -29,6 +34,12 @@ def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_orc_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "orc")
+    write_token_ids(_documents(spark, sf), path, f"{TOKENIZERS}/word_bpe_49k.json")
+    return token_index(spark, path)
+
+
 def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return compare_edited(_documents(spark, sf))
 
@@ -37,5 +48,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
+    "op4_orc_tokens": op4_orc_tokens,
     "op8_fingerprints": op8_fingerprints,
 }
