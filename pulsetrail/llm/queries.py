@@ -11,6 +11,7 @@ from pulsetrail.llm.fingerprint import compare_edited
 from pulsetrail.llm.mixing import plan_mix
 from pulsetrail.llm.orc_tokens import token_index, write_token_ids
 from pulsetrail.llm.secret_scan import find_secrets
+from pulsetrail.llm.sentencepiece_scan import digests, encode
 from pulsetrail.materialize import scratch_path
 
 # Vocabulary files are read where they are installed.
@@ -44,10 +45,16 @@ def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return compare_edited(_documents(spark, sf))
 
 
+def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    model = f"{TOKENIZERS}/piece_bpe_32k.model"
+    return digests(encode(_documents(spark, sf), model), model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
     "op4_orc_tokens": op4_orc_tokens,
     "op8_fingerprints": op8_fingerprints,
+    "op10_sentencepiece": op10_sentencepiece,
 }
