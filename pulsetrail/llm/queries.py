@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pulsetrail.llm.exact_dedup import exact_duplicates
 from pulsetrail.llm.fingerprint import compare_edited
+from pulsetrail.llm.langid import identify
 from pulsetrail.llm.mixing import plan_mix
 from pulsetrail.llm.orc_tokens import token_index, write_token_ids
 from pulsetrail.llm.secret_scan import find_secrets
@@ -22,6 +24,11 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def fold(modulus: int) -> Column:
+    """The fold of a document: the CRC-32 of its id as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
 def op1_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return find_secrets(_documents(spark, sf))
 
@@ -41,6 +48,11 @@ def op4_orc_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return token_index(spark, path)
 
 
+def op6_langid(spark: SparkSession, sf: str) -> DataFrame:
+    found = identify(_documents(spark, sf), fold(4) == 2)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "entropy", "rejected")
+
+
 def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return compare_edited(_documents(spark, sf))
 
@@ -55,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
     "op4_orc_tokens": op4_orc_tokens,
+    "op6_langid": op6_langid,
     "op8_fingerprints": op8_fingerprints,
     "op10_sentencepiece": op10_sentencepiece,
 }
