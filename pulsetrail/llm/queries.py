@@ -14,6 +14,7 @@ from pulsetrail.llm.mixing import plan_mix
 from pulsetrail.llm.orc_tokens import token_index, write_token_ids
 from pulsetrail.llm.secret_scan import find_secrets
 from pulsetrail.llm.sentencepiece_scan import digests, encode
+from pulsetrail.llm.suffix_tree import score_texts
 from pulsetrail.materialize import scratch_path
 
 # Vocabulary files are read where they are installed.
@@ -57,6 +58,10 @@ def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return compare_edited(_documents(spark, sf))
 
 
+def op9_suffix_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return score_texts(_documents(spark, sf), fold(7) == 2)
+
+
 def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     model = f"{TOKENIZERS}/piece_bpe_32k.model"
     return digests(encode(_documents(spark, sf), model), model)
@@ -69,5 +74,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_orc_tokens": op4_orc_tokens,
     "op6_langid": op6_langid,
     "op8_fingerprints": op8_fingerprints,
+    "op9_suffix_tree": op9_suffix_tree,
     "op10_sentencepiece": op10_sentencepiece,
 }
