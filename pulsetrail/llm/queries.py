@@ -12,6 +12,7 @@ from pulsetrail.llm.fingerprint import compare_edited
 from pulsetrail.llm.langid import identify
 from pulsetrail.llm.mixing import plan_mix
 from pulsetrail.llm.orc_tokens import token_index, write_token_ids
+from pulsetrail.llm.probminhash import near_duplicates
 from pulsetrail.llm.secret_scan import find_secrets
 from pulsetrail.llm.sentencepiece_scan import digests, encode
 from pulsetrail.llm.suffix_tree import score_texts
@@ -54,6 +55,10 @@ def op6_langid(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "entropy", "rejected")
 
 
+def op7_probminhash(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(_documents(spark, sf)).drop("mark")
+
+
 def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return compare_edited(_documents(spark, sf))
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_orc_tokens": op4_orc_tokens,
     "op6_langid": op6_langid,
+    "op7_probminhash": op7_probminhash,
     "op8_fingerprints": op8_fingerprints,
     "op9_suffix_tree": op9_suffix_tree,
     "op10_sentencepiece": op10_sentencepiece,
