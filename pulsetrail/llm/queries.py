@@ -13,6 +13,7 @@ from pulsetrail.llm.langid import identify
 from pulsetrail.llm.mixing import plan_mix
 from pulsetrail.llm.orc_tokens import token_index, write_token_ids
 from pulsetrail.llm.probminhash import near_duplicates
+from pulsetrail.llm.quality import score_quality
 from pulsetrail.llm.secret_scan import find_secrets
 from pulsetrail.llm.sentencepiece_scan import digests, encode
 from pulsetrail.llm.suffix_tree import score_texts
@@ -50,6 +51,17 @@ def op4_orc_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return token_index(spark, path)
 
 
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where(fold(3) != 1).select("doc_id", "quality")
+    scored = score_quality(_documents(spark, sf), labels)
+    return scored.select(
+        "doc_id",
+        (fold(3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op6_langid(spark: SparkSession, sf: str) -> DataFrame:
     found = identify(_documents(spark, sf), fold(4) == 2)
     return found.select("doc_id", "held_out", "lang_pred", "score", "entropy", "rejected")
@@ -77,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
     "op4_orc_tokens": op4_orc_tokens,
+    "op5_quality": op5_quality,
     "op6_langid": op6_langid,
     "op7_probminhash": op7_probminhash,
     "op8_fingerprints": op8_fingerprints,
