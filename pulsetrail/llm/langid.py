@@ -18,7 +18,8 @@ model. So it has at most 1 / LEAST_SHARE rows per language, which bounds what th
 gathers and broadcasts, whatever the size of the corpus.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; rows with a
-null language are not learned from; without any training row everything is ``und``;
+null language are not learned from; without any training row every text is ``und``, and
+only those without a letter are rejected;
 equal texts get equal results; rows repeat as they come; columns other than ``doc_id``,
 ``text`` and ``lang`` are not read.
 """
@@ -181,7 +182,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
             F.lit(UNDEFINED).alias("lang_pred"),
             F.lit(0.0).alias("score"),
             F.lit(None).cast("double").alias("entropy"),
-            F.lit(0).cast("long").alias("symbols"),
+            F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"\p{L}")).cast("long").alias("symbols"),
         )
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -236,7 +237,7 @@ def with_rejection(predicted: DataFrame, lang: str, learned: str) -> DataFrame:
     beyond: Column = F.coalesce(F.col("entropy") > F.col("limit"), F.lit(False))
     return (
         predicted.join(materialize(limits), "lang_pred", "left")
-        .withColumn("rejected", (F.col("lang_pred") == UNDEFINED) | beyond)
+        .withColumn("rejected", (F.col("symbols") == 0) | beyond)
         .drop("limit")
     )
 
