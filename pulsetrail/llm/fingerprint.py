@@ -90,7 +90,7 @@ def merge(sketches: DataFrame, keys: list[str], sketch: str = "sketch", fraction
 
 
 def _neighbours(rows: DataFrame) -> tuple[DataFrame, bool]:
-    """Per document: its key, the key of the document before it, and that one's cut.
+    """Per document: key and id, the key of the document before it, and that one's cut.
 
     Only ids, keys and lengths are ordered. The second value tells whether rows repeat.
     """
@@ -106,7 +106,7 @@ def _neighbours(rows: DataFrame) -> tuple[DataFrame, bool]:
         F.col("_key").alias("_to"),
         F.floor(F.col("_n") / 3).cast("int").alias("_cut"),
     )
-    pairs = materialize(ranked.select("_key", RANK).join(reader, RANK).drop(RANK))
+    pairs = materialize(ranked.select("_key", "doc_id", RANK).join(reader, RANK).drop(RANK))
     release(ranked)
     return pairs, repeated
 
@@ -128,7 +128,8 @@ def compare_edited(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
         "_key", F.md5(identity)
     )
     pairs, repeated = _neighbours(rows)
-    placed = rows.join(pairs, "_key")
+    # Both uses of the texts ask for the same columns, so that one shuffle serves them.
+    placed = rows.select("_key", "text").join(pairs, "_key")
     openings = with_sketch(placed, "text", "next_sketch", fraction).select(
         F.col("_to").alias("_key"),
         F.substring(F.col("text"), F.lit(1), F.col("_cut")).alias("_opening"),
