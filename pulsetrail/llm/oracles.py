@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pulsetrail.llm.mixing import MAX_PASSES, SEED, WEIGHTS
+
 OP2 = """
 WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS h FROM documents),
 g AS (SELECT h, max(doc_id) AS keep_id, count(*) AS n FROM d GROUP BY h)
@@ -9,4 +11,48 @@ SELECT doc_id, keep_id, n AS group_size, doc_id = keep_id AS kept, h AS text_sha
 FROM d JOIN g USING (h)
 """
 
-SQL = {"op2_exact_dedup": OP2}
+OP3 = rf"""
+WITH d AS (
+  SELECT doc_id, source IS NULL AS no_source, coalesce(source, '') AS src,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    substr(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS place
+  FROM documents),
+s AS (
+  SELECT no_source, src, sum(size)::BIGINT AS source_size,
+    [{", ".join(f"{w}.0::DOUBLE" for w in WEIGHTS)}][
+      1 + (row_number() OVER (ORDER BY no_source, src) - 1) % {len(WEIGHTS)}] AS weight
+  FROM d GROUP BY ALL),
+l AS (
+  SELECT *, source_size * {MAX_PASSES} AS bound, source_size * {MAX_PASSES} / weight AS ratio FROM s),
+v AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(bound) OVER (ORDER BY ratio, no_source, src
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY ratio, no_source, src
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM l),
+f AS (
+  SELECT level AS factor FROM v WHERE level <= ratio ORDER BY ratio, no_source, src LIMIT 1),
+t AS (
+  SELECT no_source, src, source_size,
+    CASE WHEN level <= ratio THEN least(factor * weight, bound::DOUBLE) ELSE bound::DOUBLE END AS target
+  FROM v, f),
+q AS (
+  SELECT d.*, source_size, target,
+    sum(size) OVER (PARTITION BY d.no_source, d.src ORDER BY place, doc_id, size
+      ROWS UNBOUNDED PRECEDING) AS upto
+  FROM d JOIN t ON d.no_source = t.no_source AND d.src = t.src),
+p AS (
+  SELECT q.*, (pass * source_size + upto)::DOUBLE / target AS finish
+  FROM q, range({MAX_PASSES}) AS r(pass) WHERE size > 0 AND target > 0),
+c AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, no_source, src, place, doc_id, size
+    ROWS UNBOUNDED PRECEDING) AS words FROM p),
+k AS (
+  SELECT doc_id, count(*) AS copies FROM c
+  WHERE words <= (SELECT sum(size) FROM d) GROUP BY doc_id)
+SELECT q.doc_id, size::BIGINT AS size, source_size, target,
+  (coalesce(copies, 0) * size)::BIGINT AS taken
+FROM q LEFT JOIN k ON q.doc_id = k.doc_id
+"""
+
+SQL = {"op2_exact_dedup": OP2, "op3_mixing": OP3}
