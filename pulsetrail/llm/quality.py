@@ -90,7 +90,8 @@ def statistics(texts: pa.Array) -> np.ndarray:
     size = np.diff(words.starts)
     rows = len(size)
     count = np.maximum(size, 1)
-    sums = text_sums(_per_word(words)[words.codes], words.starts)
+    # One column at a time: all of them for all words would be most of the memory.
+    sums = np.column_stack([text_sums(c[words.codes], words.starts) for c in _per_word(words).T])
     classes, kinds = sums[:, : len(_CLASSES)], sums[:, len(_CLASSES) :]
     letters = classes.sum(axis=1)
     bytes_ = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
