@@ -17,11 +17,12 @@ WITH d AS (
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
     substr(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS place
   FROM documents),
+g AS (SELECT no_source, src, sum(size)::BIGINT AS source_size FROM d GROUP BY ALL),
 s AS (
-  SELECT no_source, src, sum(size)::BIGINT AS source_size,
+  SELECT *,
     [{", ".join(f"{w}.0::DOUBLE" for w in WEIGHTS)}][
       1 + (row_number() OVER (ORDER BY no_source, src) - 1) % {len(WEIGHTS)}] AS weight
-  FROM d GROUP BY ALL),
+  FROM g),
 l AS (
   SELECT *, source_size * {MAX_PASSES} AS bound, source_size * {MAX_PASSES} / weight AS ratio FROM s),
 v AS (

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.wordbatch import Words, per_slice, split_ascii
+from pulsetrail.llm.wordbatch import Words, map_texts, split_ascii
 from pulsetrail.materialize import materialize, release
 
 SHINGLE_WORDS = 5
@@ -259,7 +259,7 @@ def _bags(rows: DataFrame, sketches: DataFrame, buckets: DataFrame) -> DataFrame
     chosen = materialize(chosen)
     texts = rows.select("mark", "text").join(chosen, "mark", "left_semi")
     schema = "member long, value array<int>, weight array<int>"
-    bags = materialize(texts.mapInArrow(per_slice(_bag), schema))
+    bags = materialize(map_texts(texts, _bag, schema))
     release(chosen)
     if bags.count() == bags.select("member").distinct().count():
         return bags
@@ -354,7 +354,8 @@ def _classes(rows: DataFrame, sketches: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, class_size, kept, mark.
 
-    ``class_id`` is the least id of the class, whose row stays. ``mark`` is a hash of id
+    ``class_id`` is the least id of the class, whose row stays; an id with two texts may
+    name two classes. ``mark`` is a hash of id
     and text, which tells apart rows that share an id.
     """
     text = F.coalesce("text", F.lit(""))
@@ -362,7 +363,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id"), text).alias("mark"), text.alias("text")
     )
     sketches = materialize(
-        rows.mapInArrow(per_slice(_sketch), "doc_id long, mark long, digest long, bands array<long>")
+        map_texts(rows, _sketch, "doc_id long, mark long, digest long, bands array<long>")
     )
     labels = _classes(rows, sketches).withColumnRenamed("member", "digest")
     named = sketches.select("doc_id", "mark", "digest").join(labels, "digest", "left")

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.wordbatch import Words, per_slice, split_ascii, text_sums
+from pulsetrail.llm.wordbatch import Words, map_texts, split_ascii, text_sums
 from pulsetrail.materialize import materialize
 
 FEATURES = 256
@@ -194,7 +194,7 @@ def describe(docs: DataFrame) -> DataFrame:
         )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(per_slice(work), "doc_id long, x array<double>")
+    return map_texts(rows, work, "doc_id long, x array<double>")
 
 
 def _constant(described: DataFrame, value: float) -> DataFrame:

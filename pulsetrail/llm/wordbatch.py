@@ -12,9 +12,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
-# Rows that Spark sends at once can be long: work on about this much text at a time.
-BATCH_CHARS = 16_000_000
+# Spark sends rows of about this many bytes at once, and they are worked on in parts of
+# about this size: that bounds the memory of a task on both sides.
+BATCH_CHARS = 8_000_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 @dataclass
@@ -87,6 +90,20 @@ def per_slice(
     return run
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches held to the size worked on.
+
+    The setting changes how many rows travel at once, never a result.
+    """
+    df.sparkSession.conf.set(_BATCH_SETTING, str(BATCH_CHARS))
+    return df
+
+
+def map_texts(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """``df`` through ``work``, in parts of bounded size."""
+    return bounded(df).mapInArrow(per_slice(work), schema)
+
+
 def ragged_take(values: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Concatenated lists of ``codes``; list c is ``lengths[c]`` long, all are in ``values``."""
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
