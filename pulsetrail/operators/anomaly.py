@@ -9,14 +9,24 @@ which is the better choice for new work.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pulsetrail.functions.scalar import filled, fixed, literal_array, present, rounded
 from pulsetrail.operators.iforest import isolation_forest_detection
-from pulsetrail.operators.ordering import RANK, global_rank, order_statistics, over_frame
+from pulsetrail.operators.ordering import (
+    CHUNK,
+    COPY,
+    RANK,
+    chunked,
+    global_rank,
+    order_statistics,
+    over_frame,
+)
 from pulsetrail.schemas import ANOMALIES, METHODS, SEVERITIES
 
 ORDER = ("hour_bucket", "region", "device")
@@ -166,69 +176,51 @@ def iqr_detection(
 
 
 def _ewma_reach(alpha: float) -> int:
-    """Rows after which a weight has fallen below 1e-18."""
-    return math.ceil(math.log(1e-18) / math.log(1.0 - alpha))
+    """Rows after which a weight is zero as a double."""
+    return math.ceil(math.log(sys.float_info.min * sys.float_info.epsilon) / math.log1p(-alpha))
 
 
 def ewma_detection(
     df: DataFrame,
     metric: str,
     span: int = 12,
-    threshold: float = 3.0,
+    threshold: float = 1.8,
     series: Sequence[str] = (),
     order: Sequence[str] = ORDER,
 ) -> DataFrame:
     """Rows far from an exponentially weighted mean that includes them.
 
-    Weights are relative to each row and reach back until they vanish in double
-    precision, so a bounded frame is exact. Nulls are skipped but still age the rows
-    before them, and the variance carries the usual bias correction. Returns the
-    order columns, the zero-based position in the series and the statistics.
+    The series is cut into chunks. A chunk borrows as many rows before it as it takes for
+    a weight to become zero as a double, so nothing that could count is left out, and
+    pandas runs its own weighted mean and deviation over each chunk: the cost is linear
+    and large levels lose no digits. Nulls are skipped but still age the rows before
+    them. Since a window includes its own row, |z| cannot exceed (1 - w) / sqrt(v) with
+    the row's weight share w and the deviation's share v: 2.25 for a span of 12. Returns
+    the order columns, the zero-based position in the series and the statistics.
     """
-    alpha = 2.0 / (span + 1.0)
-    reach = _ewma_reach(alpha)
-
-    def gather(rows: DataFrame, over: WindowSpec) -> DataFrame:
-        frame = over.rowsBetween(-reach, Window.currentRow)
-        # A struct, because collect_list would drop nulls and with them their age.
-        point = F.struct(F.col(metric).cast("double").alias("x"))
-        return rows.withColumn("_seen", F.collect_list(point).over(frame))
-
-    def fade(total: Column, share: float, addend: Column) -> Column:
-        return total * share + F.coalesce(addend, F.lit(0.0))
-
-    def step(sums: Column, point: Column) -> Column:
-        """Age the sums by one row and add the next: weights 1 for the newest row."""
-        x = point["x"]
-        one = F.when(x.isNotNull(), F.lit(1.0))
-        return F.struct(
-            fade(sums["w"], 1.0 - alpha, one).alias("w"),
-            fade(sums["w2"], (1.0 - alpha) ** 2, one).alias("w2"),
-            fade(sums["wx"], 1.0 - alpha, x).alias("wx"),
-            fade(sums["wxx"], 1.0 - alpha, x * x).alias("wxx"),
-        )
-
-    nothing = F.struct(*[F.lit(0.0).alias(name) for name in ("w", "w2", "wx", "wxx")])
-    ranked = _ordered(df, series, order, [metric])
-    summed = (
-        over_frame(ranked, gather, reach, series=series)
-        .withColumn("_sums", F.aggregate("_seen", nothing, step))
-        .withColumns({f"_{name}": F.col(f"_sums.{name}") for name in ("w", "w2", "wx", "wxx")})
-    )
-    mean = F.try_divide("_wx", "_w")
-    biased = F.greatest(F.try_divide("_wxx", "_w") - mean * mean, F.lit(0.0))
-    debias = F.try_divide(F.col("_w") * F.col("_w"), F.col("_w") * F.col("_w") - F.col("_w2"))
-    first = ranked.groupBy(*series).agg(F.min(RANK).alias("_first"))
-    placed = (
-        summed.join(first, list(series))
-        if series
-        else summed.withColumn("_first", first.scalar())
-    )
     keys = [*series, *[k for k in present(df, order) if k not in series]]
-    scored = placed.withColumns({"ewma": mean, "ewm_std": F.sqrt(biased * debias)}).withColumn(
-        "z", (F.col(metric) - F.col("ewma")) / (F.col("ewm_std") + TINY)
-    )
-    return scored.where(F.abs("z") > threshold).select(
+    typed = df.withColumn(metric, F.nullif(F.col(metric).cast("double"), F.lit(math.nan)))
+    ranked = _ordered(typed, series, order, [metric])
+    spread = chunked(ranked, _ewma_reach(2.0 / (span + 1.0)))
+    kept = {"ewma": "double", "ewm_std": "double", "z": "double", **dict(ranked.dtypes)}
+
+    def weigh(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(RANK)
+        windows = rows[metric].astype("float64").ewm(span=span)
+        mean, sd = windows.mean(), windows.std()
+        z = (rows[metric] - mean) / (sd + TINY)
+        found = rows.assign(ewma=mean, ewm_std=sd, z=z)
+        return found.loc[~rows[COPY] & (z.abs() > threshold), list(kept)]
+
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in kept.items())
+    scored = spread.groupBy(*series, CHUNK).applyInPandas(weigh, schema)
+    first = ranked.groupBy(*series).agg(F.min(RANK).alias("_first"))
+    if series:
+        same = [F.col(f"s.{name}").eqNullSafe(F.col(f"f.{name}")) for name in series]
+        placed = scored.alias("s").join(first.alias("f"), same).select("s.*", "f._first")
+    else:
+        placed = scored.withColumn("_first", first.scalar())
+    return placed.select(
         *keys,
         (F.col(RANK) - F.col("_first")).alias("position"),
         F.col(metric).alias("value"),
@@ -282,6 +274,9 @@ def seasonal_residuals(
     for name in series:
         effect = effect.withColumnRenamed(name, f"_s_{name}")
         same = same & F.col(name).eqNullSafe(F.col(f"_s_{name}"))
+    if not series:
+        # One row per hour of the day, whatever the size of the table.
+        effect = F.broadcast(effect)
     return (
         trended.join(effect, same, "left")
         .withColumn("remainder", F.col(metric) - F.col("trend") - F.col("seasonal"))
@@ -316,32 +311,36 @@ def detect_all(
     region: str | None = None,
     series: Sequence[str] = (),
     methods: Sequence[str] = METHODS,
+    order: Sequence[str] = ORDER,
 ) -> DataFrame:
     """Findings of every detector over the KPI table (schema ``ANOMALIES``).
 
     Metrics the frame lacks are skipped; the forest needs at least two of its own.
+    ``order`` must name every dimension of the table, so that windows are reproducible.
     """
     rows = hourly.where(F.col("region") == region) if region is not None else hourly
     found: list[DataFrame] = []
     have = {m: spec for m, spec in METRIC_METHODS.items() if m in rows.columns}
     by_z = {m: limit for m, (method, limit) in have.items() if method == "zscore"}
     if "zscore" in methods and by_z:
-        found.append(zscore_detection(rows, by_z, series=series))
+        found.append(zscore_detection(rows, by_z, series=series, order=order))
     if "iqr" in methods:
         found += [
-            iqr_detection(rows, m, limit) for m, (method, limit) in have.items() if method == "iqr"
+            iqr_detection(rows, m, limit, order) for m, (method, limit) in have.items() if method == "iqr"
         ]
     features = present(rows, FOREST_METRICS)
     if "isolation_forest" in methods and len(features) >= 2:
-        found.append(_forest_findings(rows, features, region))
+        found.append(_forest_findings(rows, features, region, order))
     out = rows.sparkSession.createDataFrame([], ANOMALIES)
     for piece in found:
         out = out.unionByName(piece)
     return out
 
 
-def _forest_findings(rows: DataFrame, features: list[str], region: str | None) -> DataFrame:
-    ids = present(rows, ORDER)
+def _forest_findings(
+    rows: DataFrame, features: list[str], region: str | None, order: Sequence[str]
+) -> DataFrame:
+    ids = present(rows, order)
     scored = isolation_forest_detection(rows.select(*ids, *features), features, id_cols=ids)
     score = F.col("anomaly_score")
     names = "[" + ", ".join(f"'{name}'" for name in features) + "]"

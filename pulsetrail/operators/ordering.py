@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pulsetrail.materialize import materialize
 
 RANK = "_rank"
-_CHUNK, _COPY = "_chunk", "_copy"
+CHUNK, COPY = "_chunk", "_copy"
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition above, row number below
 CHUNK_ROWS = 10_000
 
@@ -49,6 +49,31 @@ def global_rank(df: DataFrame, keys: Sequence[str | Column], rank: str = RANK) -
     )
 
 
+def chunked(
+    ranked: DataFrame, before: int, after: int = 0, rank: str = RANK, chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
+    """Rows cut into chunks by rank, each with the rows it borrows from its neighbours.
+
+    Adds ``CHUNK``, and ``COPY`` for a borrowed row. A chunk is at least as long as what
+    it borrows, so every row is borrowed by one chunk on each side at most.
+    """
+    size = max(chunk_rows, before, after)
+    position = F.col(rank) - 1
+    own = F.floor(position / size)
+    offset = F.pmod(position, F.lit(size))
+    places = F.array(
+        own,
+        F.when(offset >= size - before, own + 1),
+        F.when(offset < after, own - 1),
+    )
+    return (
+        ranked.withColumn("_own", own)
+        .withColumn(CHUNK, F.explode(F.array_compact(places)))
+        .withColumn(COPY, F.col(CHUNK) != F.col("_own"))
+        .drop("_own")
+    )
+
+
 def over_frame(
     ranked: DataFrame,
     compute: Callable[[DataFrame, WindowSpec], DataFrame],
@@ -65,23 +90,9 @@ def over_frame(
     everything. ``compute`` gets the frame and the window to use; ``ranked`` must be
     ordered by ``series`` first if that is given.
     """
-    size = max(chunk_rows, before, after)
-    position = F.col(rank) - 1
-    own = F.floor(position / size)
-    offset = F.pmod(position, F.lit(size))
-    places = F.array(
-        own,
-        F.when(offset >= size - before, own + 1),
-        F.when(offset < after, own - 1),
-    )
-    spread = (
-        ranked.withColumn("_own", own)
-        .withColumn(_CHUNK, F.explode(F.array_compact(places)))
-        .withColumn(_COPY, F.col(_CHUNK) != F.col("_own"))
-        .drop("_own")
-    )
-    window = Window.partitionBy(*series, _CHUNK).orderBy(rank)
-    return compute(spread, window).where(~F.col(_COPY)).drop(_CHUNK, _COPY)
+    spread = chunked(ranked, before, after, rank, chunk_rows)
+    window = Window.partitionBy(*series, CHUNK).orderBy(rank)
+    return compute(spread, window).where(~F.col(COPY)).drop(CHUNK, COPY)
 
 
 def order_statistics(
