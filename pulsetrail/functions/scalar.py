@@ -14,10 +14,20 @@ MICROS = 1_000_000
 # Exact, order-independent sums of money: a double sum depends on task order.
 MONEY = "decimal(18,6)"
 
+# Times are UTC without a zone. Arithmetic goes by intervals from here, never by way of a
+# timestamp with a zone, which would take on the zone of the caller's session.
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
 
 def epoch_to_ts(seconds: Column) -> Column:
     """Epoch seconds (fractional allowed) to a UTC timestamp without zone."""
-    return F.timestamp_seconds(seconds).cast("timestamp_ntz")
+    none = F.lit(0)
+    return F.expr(_EPOCH) + F.make_dt_interval(none, none, none, seconds.cast("decimal(18,6)"))
+
+
+def micros_to_ts(micros: Column) -> Column:
+    """Whole microseconds since the epoch to a UTC timestamp without zone."""
+    return epoch_to_ts(micros.cast("decimal(20,0)") / F.lit(MICROS).cast("decimal(7,0)"))
 
 
 def hour_bucket(seconds: Column) -> Column:
@@ -27,7 +37,8 @@ def hour_bucket(seconds: Column) -> Column:
 
 def epoch_micros(ts: Column) -> Column:
     """Whole microseconds since the epoch for a timestamp column."""
-    return F.unix_micros(ts.cast("timestamp"))
+    since = (ts.cast("timestamp_ntz") - F.expr(_EPOCH)).cast("interval second")
+    return (since.cast("decimal(18,6)") * MICROS).cast("bigint")
 
 
 def hour_of_day(seconds: Column) -> Column:
@@ -50,14 +61,18 @@ def whole_days(later: Column, earlier: Column) -> Column:
 
 
 def filled(column: str | Column) -> Column:
-    """A metric as a double with nulls read as zero."""
+    """A metric as a double with nulls and NaN read as zero."""
     column = F.col(column) if isinstance(column, str) else column
-    return F.coalesce(column.cast("double"), F.lit(0.0))
+    return F.coalesce(F.nanvl(column.cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
 def exact_sum(column: str) -> Column:
-    """Sum of a money column that does not depend on the order of the rows."""
-    return F.sum(F.col(column).cast(MONEY)).cast("double")
+    """Sum of a money column that does not depend on the order of the rows.
+
+    A value that money cannot hold (1e12 or more) counts as missing; the quality rule
+    ``unusable_<column>`` counts those.
+    """
+    return F.sum(F.col(column).try_cast(MONEY)).cast("double")
 
 
 def is_event(kind: str) -> Column:

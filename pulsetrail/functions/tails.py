@@ -15,9 +15,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-# Beyond this many denominator degrees of freedom the F tail equals the chi-square
-# tail to about 1e-7, while log-gamma differences start losing digits.
-LARGE_DF = 1e7
+# Steps of the continued fraction grow with the square root of the larger parameter.
+_STEPS_PER_ROOT = 20
+
+
+def _stirling(x: float) -> float:
+    """What log-gamma adds to (x - 1/2) log x - x + log(2 pi) / 2, for x of 10 or more."""
+    y = 1.0 / (x * x)
+    return (1 / 12 - y * (1 / 360 - y * (1 / 1260 - y * (1 / 1680 - y / 1188)))) / x
+
+
+def _log_gamma_ratio(a: float, b: float) -> float:
+    """log(gamma(a + b) / gamma(a)) without the difference of two large numbers."""
+    shift = max(0, math.ceil(10.0 - a))
+    low = sum(math.log((a + k) / (a + b + k)) for k in range(shift))
+    a += shift
+    main = (a - 0.5) * math.log1p(b / a) + b * math.log(a + b) - b
+    return low + main + _stirling(a + b) - _stirling(a)
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -26,7 +40,7 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
     c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
     d = 1.0 / (d if abs(d) > floor else floor)
     value = d
-    for m in range(1, 100_000):
+    for m in range(1, 1000 + int(_STEPS_PER_ROOT * math.sqrt(max(a, b)))):
         for numerator in (
             m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
             -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
@@ -38,35 +52,25 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
             step = c * d
             value *= step
         if abs(step - 1.0) < 1e-15:
-            break
-    return value
+            return value
+    raise ArithmeticError(f"the beta fraction did not converge for {a}, {b}, {x}")
 
 
-def regularized_beta(a: float, b: float, x: float) -> float:
-    """I_x(a, b)."""
+def regularized_beta(a: float, b: float, x: float, rest: float | None = None) -> float:
+    """I_x(a, b). ``rest`` is 1 - x, for callers that know it with more digits."""
+    rest = 1.0 - x if rest is None else rest
     if x <= 0.0:
         return 0.0
-    if x >= 1.0:
+    if rest <= 0.0:
         return 1.0
-    log_front = (
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    )
-    if x < (a + 1.0) / (a + b + 2.0):
+    small, large = sorted((a, b))
+    log_front = _log_gamma_ratio(large, small) - math.lgamma(small)
+    # The logarithm of the side that is nearer to 1 comes from the other one.
+    log_front += a * (math.log(x) if x < 0.5 else math.log1p(-rest))
+    log_front += b * (math.log(rest) if rest < 0.5 else math.log1p(-x))
+    if x * (a + b + 2.0) < a + 1.0:
         return math.exp(log_front) * _beta_fraction(a, b, x) / a
-    return 1.0 - math.exp(log_front) * _beta_fraction(b, a, 1.0 - x) / b
-
-
-def chi2_tail(x: float, df: int) -> float:
-    """P(X > x) for a chi-square variable with a whole number of degrees of freedom."""
-    half = x / 2.0
-    if df % 2:
-        tail, k = math.erfc(math.sqrt(half)), 1
-    else:
-        tail, k = math.exp(-half), 2
-    while k < df:
-        tail += math.exp(k / 2.0 * math.log(half) - half - math.lgamma(k / 2.0 + 1.0)) if half else 0.0
-        k += 2
-    return tail
+    return 1.0 - math.exp(log_front) * _beta_fraction(b, a, rest) / b
 
 
 def f_tail(f: float, d1: float, d2: float) -> float:
@@ -77,9 +81,8 @@ def f_tail(f: float, d1: float, d2: float) -> float:
         return 1.0
     if math.isinf(f):
         return 0.0
-    if d2 > LARGE_DF:
-        return chi2_tail(d1 * f, int(d1))
-    return regularized_beta(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
+    whole = d2 + d1 * f
+    return regularized_beta(d2 / 2.0, d1 / 2.0, d2 / whole, d1 * f / whole)
 
 
 @F.pandas_udf(DoubleType())

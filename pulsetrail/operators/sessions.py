@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsetrail.functions.scalar import MICROS, epoch_micros
+from pulsetrail.functions.scalar import MICROS, epoch_micros, micros_to_ts
 from pulsetrail.materialize import materialize
 from pulsetrail.operators.skew import attach_by_key
 
@@ -84,7 +84,7 @@ def sessionize(
 def session_spans(slots: DataFrame, user_col: str = "user_id") -> DataFrame:
     """Start, end and depth of each gap session, from the slots alone."""
     return slots.groupBy(user_col, "session_seq", "session_id").agg(
-        F.timestamp_micros(F.min("_first")).cast("timestamp_ntz").alias("session_start"),
-        F.timestamp_micros(F.max("_last")).cast("timestamp_ntz").alias("session_end"),
+        micros_to_ts(F.min("_first")).alias("session_start"),
+        micros_to_ts(F.max("_last")).alias("session_end"),
         F.sum("_rows").alias("session_depth"),
     )

@@ -17,10 +17,6 @@ RUNTIME_CONF = {
     # interpreted. Past that size separate, compiled expressions are 5-8x faster
     # (measured on the event generator).
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # percentile_approx runs in ObjectHashAggregate, which sorts its whole input
-    # once a task has seen this many groups. The KPI grain (hours x regions x
-    # devices) passes the default of 128 in every task; a sketch is a few KB.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
 }
 
 # Settings a session can only be created with.
