@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsetrail.functions.scalar import epoch_micros, month_index, rounded
+from pulsetrail.functions.scalar import epoch_micros, epoch_to_ts, month_index, rounded
 
 _WEEK_MICROS = 7 * 86_400 * 1_000_000
 
 
 def _period_start(ts: Column, grain: str) -> Column:
-    return F.date_trunc(grain, ts).cast("timestamp_ntz")
+    return F.trunc(ts.cast("date"), grain).cast("timestamp_ntz")
 
 
 def _periods_between(later: Column, earlier: Column, grain: str) -> Column:
@@ -31,19 +31,21 @@ def cohort_analysis(
     Events collapse to the distinct (user, period) pairs before anything else, so a
     very active user weighs no more than the number of periods in the data.
     ``grain`` is ``month`` or ``week``. Output columns use the names of the monthly
-    report: cohort_month, months_since (or cohort_week, weeks_since).
+    report: cohort_month, months_since (or cohort_week, weeks_since). A table without
+    ``time_col`` is read by its epoch seconds in ``timestamp``.
     """
     if grain not in ("month", "week"):
         raise ValueError(f"unknown grain: {grain}")
     cohort, since = f"cohort_{grain}", f"{grain}s_since"
-    active = (
-        events.where(F.col(user_col).isNotNull() & F.col(time_col).isNotNull())
-        .select(user_col, _period_start(F.col(time_col), grain).alias("_period"))
-        .distinct()
-    )
-    first = F.min("_period").over(Window.partitionBy(user_col))
+    has_time = time_col in events.columns
+    at = F.col(time_col).cast("timestamp_ntz") if has_time else epoch_to_ts(F.col("timestamp"))
+    # One shuffle: a user's set of periods is as long as the history, not as the events.
     counts = (
-        active.withColumn(cohort, first)
+        events.select(F.col(user_col).alias("_user"), _period_start(at, grain).alias("_period"))
+        .where("_user is not null and _period is not null")
+        .groupBy("_user")
+        .agg(F.collect_set("_period").alias("_periods"))
+        .select(F.array_min("_periods").alias(cohort), F.explode("_periods").alias("_period"))
         .withColumn(since, _periods_between(F.col("_period"), F.col(cohort), grain).cast("int"))
         .groupBy(cohort, since)
         .agg(F.count(F.lit(1)).alias("users"))

@@ -9,28 +9,33 @@ from pyspark.sql import functions as F
 
 from pulsetrail.functions.scalar import exact_sum, is_event
 from pulsetrail.operators.skew import attach_by_key
+from pulsetrail.schemas import SESSION_FEATURES, USER_FEATURES
 
 
 def user_features(events: DataFrame) -> DataFrame:
     """Lifetime totals per user. Every aggregate combines before the shuffle."""
-    return events.groupBy("user_id").agg(
-        exact_sum("revenue").alias("user_total_revenue"),
-        F.count(F.lit(1)).alias("user_event_count"),
-        F.count_if(is_event("purchase")).alias("user_purchase_count"),
-        F.avg("response_time_ms").alias("user_avg_response_ms"),
-        F.min("timestamp").alias("user_first_event_ts"),
-        F.max("timestamp").alias("user_last_event_ts"),
+    measures = (
+        exact_sum("revenue"),
+        F.count(F.lit(1)),
+        F.count_if(is_event("purchase")),
+        F.avg("response_time_ms"),
+        F.min("timestamp"),
+        F.max("timestamp"),
     )
+    return events.groupBy("user_id").agg(*[m.alias(n) for m, n in zip(measures, USER_FEATURES, strict=True)])
 
 
 def session_features(events: DataFrame) -> DataFrame:
     """Depth, span, conversion and revenue per session."""
+    measures = (
+        F.count(F.lit(1)),
+        F.min("timestamp"),
+        F.max("timestamp"),
+        F.coalesce(F.bool_or(is_event("purchase")), F.lit(False)).cast("int"),
+        exact_sum("revenue"),
+    )
     return events.groupBy("session_id").agg(
-        F.count(F.lit(1)).alias("session_depth"),
-        F.min("timestamp").alias("session_start"),
-        F.max("timestamp").alias("session_end"),
-        F.coalesce(F.bool_or(is_event("purchase")), F.lit(False)).cast("int").alias("converted"),
-        exact_sum("revenue").alias("session_revenue"),
+        *[m.alias(n) for m, n in zip(measures, SESSION_FEATURES, strict=True)]
     )
 
 

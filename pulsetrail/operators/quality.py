@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pulsetrail.functions.scalar import present, rounded
+from pulsetrail.functions.scalar import MONEY, present, rounded
 from pulsetrail.schemas import ERROR_CODES, EVENT_TYPES, EVENTS, OK_CODE
 
 
@@ -33,6 +33,10 @@ def _row_rules(event_types: Sequence[str], error_codes: Sequence[str]) -> dict[s
         f"null_{name}": ((name,), F.col(name).isNull())
         for name in ("event_id", "user_id", "session_id", "event_type", "timestamp")
     }
+    rules |= {
+        f"unusable_{name}": ((name,), F.col(name).isNotNull() & F.col(name).try_cast(MONEY).isNull())
+        for name in ("revenue",)
+    }
     rules |= {
         "unknown_event_type": (("event_type",), ~kind.isin(*event_types)),
         "negative_price": (("price",), F.col("price") < 0),

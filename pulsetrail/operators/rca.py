@@ -22,6 +22,7 @@ from pyspark.sql.types import (
 
 from pulsetrail.functions.scalar import filled, fixed, literal_array, present, rounded
 from pulsetrail.functions.tails import f_sf, f_tail
+from pulsetrail.materialize import materialize
 from pulsetrail.operators.ordering import global_rank, over_frame
 
 ORDER = ("hour_bucket", "region", "device")
@@ -513,7 +514,8 @@ def target_reports(
     metrics = present(hourly, CANDIDATES)
     wanted = {t: metrics for t in present(hourly, targets)}
     columns = list(dict.fromkeys([*metrics, *wanted]))
-    correlations = correlate_pairs(hourly, wanted)
+    # A row per pair of metrics: stored, as three branches read it.
+    correlations = materialize(correlate_pairs(hourly, wanted))
     leaders = correlations.where(F.col("position") <= TOP_GRANGER).select(
         "target", F.col("feature").alias("candidate"), "position"
     )
@@ -563,14 +565,19 @@ def rca_report(
     max_lag: int = MAX_LAG,
     window: tuple[str, str] | None = None,
     dims: Sequence[str] = ("region", "device"),
-    targets: Sequence[str] = CANDIDATES,
+    targets: Sequence[str] | None = None,
 ) -> DataFrame:
     """One report per anomaly (columns metric, timestamp, value at least).
 
     Correlations and tests depend on the metric only, so they run once per metric and
-    join the anomalies. ``window`` adds the driving segment per dimension. Anomalies
-    of other metrics (the multivariate detector's) get a report without findings.
+    join the anomalies. Without ``targets`` these are the metrics of the anomalies that
+    the table has. ``window`` adds the driving segment per dimension. Anomalies of other
+    metrics (the multivariate detector's) get a report without findings.
     """
+    if targets is None:
+        # Names of columns: there cannot be more of them than the table has.
+        named = anomalies.where(F.col("metric").isin(*hourly.columns)).select("metric").distinct()
+        targets = sorted(r.metric for r in named.collect())
     reports = target_reports(hourly, targets, series, max_lag)
     if window is not None:
         names = present(hourly, targets)

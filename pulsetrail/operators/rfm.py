@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsetrail.functions.scalar import MONEY, epoch_to_ts, is_event, rounded, whole_days
@@ -71,7 +71,7 @@ def rfm_segmentation(
     )
     # percentile() keeps one counter per distinct value: here whole days, so the
     # buffer is bounded by the length of the history and not by the users.
-    marks = [i / QUINTILES for i in range(1, QUINTILES)]
+    marks = [i / QUINTILES for i in range(QUINTILES + 1)]
     recency = users.agg(F.percentile("recency_days", marks).alias("edges"))
     if strict_edges:
         recency = recency.where(
@@ -79,6 +79,8 @@ def rfm_segmentation(
                 F.raise_error(F.lit("recency quintile edges are not distinct"))
             )
         )
+    inner = F.slice("edges", 2, QUINTILES - 1).alias("edges")  # without the extremes
+    recency = recency.select(inner)
     cuts = {name: equal_frequency_cuts(users, [name, "user_id"], QUINTILES) for name in ("frequency", "monetary")}
     scored = users.withColumns(
         {
@@ -116,11 +118,14 @@ def _rank_score(name: str) -> Column:
 
 def rfm_rollup(rfm: DataFrame) -> DataFrame:
     """Users, share and mean revenue per segment."""
-    total = rfm.agg(F.count(F.lit(1))).scalar()
-    return rfm.groupBy("segment").agg(
+    # The total comes from the few segment counts, not from the users again.
+    counts = rfm.groupBy("segment").agg(
         F.count(F.lit(1)).alias("count"),
-        rounded(F.count(F.lit(1)) * 100 / total, 1).alias("pct"),
         rounded((F.sum(F.col("monetary").cast(MONEY)) / F.count("monetary")).cast("double"), 2).alias(
             "avg_revenue"
         ),
     )
+    total = F.sum("count").over(Window.partitionBy())
+    return counts.withColumn("pct", rounded(F.col("count") * 100 / total, 1)).select(
+        "segment", "count", "pct", "avg_revenue"
+    )

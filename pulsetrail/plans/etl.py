@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pulsetrail.operators.features import enrich_events, session_features, user_features
 from pulsetrail.operators.kpis import KPI_KEYS, hourly_kpis
-from pulsetrail.operators.quality import quality_report
+from pulsetrail.operators.quality import quality_report, validate_schema
 from pulsetrail.sources.lake import read_events, read_table, write_enriched, write_report, write_table
 
 
+REQUIRED = ("event_id", "user_id", "session_id", "event_type", "timestamp")
+
+
 @dataclass(frozen=True)
 class EtlOutput:
     """Scans of what the job wrote."""
@@ -21,6 +24,7 @@ class EtlOutput:
     sessions: DataFrame
     hourly: DataFrame
     quality: DataFrame
+    schema: DataFrame
 
 
 def run_etl(
@@ -30,13 +34,21 @@ def run_etl(
     check_quality: bool = True,
     approximate_distinct: bool = False,
 ) -> EtlOutput:
-    """Quality report, feature tables, enriched events by region/device, hourly KPIs.
+    """Schema and quality reports, feature tables, enriched events, hourly KPIs.
+
+    The schema report compares the files as they are with the event schema; a table that
+    lacks what the KPIs are made of is refused.
 
     The feature tables are written before the join reads them: they are results in
     their own right, and their row counts then steer the skew handling. Hourly KPIs
     come from the raw scan, because they need none of the joined columns.
     """
     root = output_path.rstrip("/")
+    problems = validate_schema(spark.read.parquet(input_path))
+    missing = {r.column_name for r in problems.where("problem = 'missing'").collect()}
+    if missing & set(REQUIRED):
+        raise ValueError(f"the event table lacks {sorted(missing & set(REQUIRED))}")
+    write_report(problems, f"{root}/schema")
     events = read_events(spark, input_path)
     if check_quality:
         write_report(quality_report(events), f"{root}/quality")
@@ -51,4 +63,5 @@ def run_etl(
         sessions=sessions,
         hourly=read_table(spark, f"{root}/hourly"),
         quality=spark.read.json(f"{root}/quality") if check_quality else None,
+        schema=problems,
     )

@@ -17,6 +17,10 @@ def _struct(*fields: tuple) -> StructType:
     return StructType([StructField(name, kind(), True) for name, kind in fields])
 
 
+# ---- Fixed values -------------------------------------------------------------
+# Column names of the tables and the event vocabulary. Order and spelling are part of
+# the data contract.
+
 EVENTS = _struct(
     ("event_id", StringType),
     ("user_id", StringType),
@@ -66,8 +70,21 @@ ANOMALIES = _struct(
     ("device", StringType),
 )
 
-# ---- Fixed values -------------------------------------------------------------
-# The event vocabulary. Order and spelling are part of the data contract.
+USER_FEATURES = (
+    "user_total_revenue",
+    "user_event_count",
+    "user_purchase_count",
+    "user_avg_response_ms",
+    "user_first_event_ts",
+    "user_last_event_ts",
+)
+SESSION_FEATURES = (
+    "session_depth",
+    "session_start",
+    "session_end",
+    "converted",
+    "session_revenue",
+)
 
 EVENT_TYPES = (
     "page_view",

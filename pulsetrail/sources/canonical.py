@@ -75,18 +75,19 @@ def user_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def canonical_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def canonical_events(spark: SparkSession, sf_dir: str, gap_s: int = GAP_S) -> DataFrame:
     """The full event table, with region and session.
 
     Region joins the (user, slot) aggregate, so events shuffle once for both.
     """
     base = base_events(spark, sf_dir)
-    slots = session_slots(base, GAP_S).join(user_regions(spark, sf_dir), "user_id", "left")
+    slots = session_slots(base, gap_s).join(user_regions(spark, sf_dir), "user_id", "left")
     slots = materialize(slots.withColumn("region", F.coalesce(F.col("region"), F.lit("UNKNOWN"))))
-    return sessionize(base, GAP_S, slots=slots)
+    events = sessionize(base, gap_s, slots=slots)
+    return events.withColumn("region", F.coalesce(F.col("region"), F.lit("UNKNOWN")))
 
 
-def canonical_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def canonical_hourly(spark: SparkSession, sf_dir: str, gap_s: int = GAP_S) -> DataFrame:
     """The hourly KPI table. Labelled events are stored once, then read three times."""
     needed = (
         "timestamp",
@@ -98,4 +99,4 @@ def canonical_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         "revenue",
         "response_time_ms",
     )
-    return hourly_kpis(materialize(canonical_events(spark, sf_dir).select(*needed)))
+    return hourly_kpis(materialize(canonical_events(spark, sf_dir, gap_s).select(*needed)))

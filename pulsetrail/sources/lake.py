@@ -4,18 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pulsetrail.functions.scalar import rounded
+from pulsetrail.functions.scalar import epoch_to_ts, rounded
 from pulsetrail.schemas import EVENTS, HOURLY
 
 
-def read_events(spark: SparkSession, path: str, schema: StructType | None = EVENTS) -> DataFrame:
-    """Scan a partitioned event table. No schema means the one in the files."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+def as_events(stored: DataFrame, schema: StructType = EVENTS) -> DataFrame:
+    """An event table in whatever widths it was stored, as the schema has it.
+
+    Columns are cast, and missing ones are null, except ``timestamp_dt``: writers that
+    keep epoch seconds only leave it out, and it follows from them.
+    """
+    have = set(stored.columns)
+
+    def column(field) -> Column:
+        kind = field.dataType.simpleString()
+        if field.name in have:
+            return F.col(field.name).cast(kind).alias(field.name)
+        if field.name == "timestamp_dt" and "timestamp" in have:
+            return epoch_to_ts(F.col("timestamp")).alias(field.name)
+        return F.lit(None).cast(kind).alias(field.name)
+
+    return stored.select(*[column(field) for field in schema])
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """Scan a partitioned event table, with the columns and types of ``EVENTS``.
+
+    The files' own schema is read, so tables with other widths or without a derived
+    column load as well.
+    """
+    return as_events(spark.read.parquet(path))
 
 
 def write_partitioned(
@@ -65,7 +87,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    return read_events(spark, path, schema)
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
 def write_report(report: DataFrame, path: str) -> str:
