@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import os
 import sys
-import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import oracle  # noqa: E402
 from pulsetrail.functions.scalar import is_event, rounded  # noqa: E402
-from pulsetrail.materialize import checkpoint_dir, materialize  # noqa: E402
+from pulsetrail.materialize import materialize, scratch_path  # noqa: E402
 from pulsetrail.operators import anomaly, rca  # noqa: E402
 from pulsetrail.operators.cohort import cohort_analysis  # noqa: E402
 from pulsetrail.operators.experiment import ab_test_analysis, two_proportion_z  # noqa: E402
@@ -36,7 +35,7 @@ from pulsetrail.operators.kpis import (  # noqa: E402
     kpi_timeseries,
     latest_points,
 )
-from pulsetrail.operators.quality import quality_report  # noqa: E402
+from pulsetrail.operators.quality import quality_report, validate_schema  # noqa: E402
 from pulsetrail.operators.rfm import rfm_rollup, rfm_segmentation  # noqa: E402
 from pulsetrail.operators.sessions import session_slots, session_spans  # noqa: E402
 from pulsetrail.plans.saved_queries import SAVED_QUERIES, run_saved_query  # noqa: E402
@@ -50,7 +49,7 @@ from pulsetrail.sources.canonical import (  # noqa: E402
     canonical_hourly,
     read_table,
 )
-from pulsetrail.sources.generate import dataset_profile, events_from_ids  # noqa: E402
+from pulsetrail.sources.generate import dataset_profile  # noqa: E402
 
 EVENT_TYPES = ("signup", "error", "click", "view", "purchase")
 # A two-day window inside the thirty days of the test events.
@@ -75,7 +74,7 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, name)
 
 
 # ---- events, features, sessions -------------------------------------------------
@@ -114,7 +113,7 @@ def profile_q(spark: SparkSession, sf: str) -> DataFrame:
         lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")),
     )
     profile = profile.withColumn("event_distribution", F.array_join(entries, ","))
-    return _rounded(profile.drop("date_range"))
+    return _rounded(profile)
 
 
 # ---- KPIs and saved queries -------------------------------------------------------
@@ -124,6 +123,15 @@ def hourly_kpi_q(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(canonical_hourly(spark, sf))
 
 
+def hourly_kpi_short_gap_q(spark: SparkSession, sf: str) -> DataFrame:
+    """With a pause of five minutes, users have several sessions in an hour."""
+    return _rounded(canonical_hourly(spark, sf, 300))
+
+
+def schema_report_q(spark: SparkSession, sf: str) -> DataFrame:
+    return validate_schema(read_table(spark, sf, "events"))
+
+
 def hourly_csv_q(spark: SparkSession, sf: str) -> DataFrame:
     path = _scratch(spark, "hourly-csv")
     lake.write_hourly_csv(canonical_hourly(spark, sf), path)
@@ -237,7 +245,7 @@ def iqr_q(spark: SparkSession, sf: str) -> DataFrame:
 
 def ewma_q(spark: SparkSession, sf: str) -> DataFrame:
     hourly = canonical_hourly(spark, sf)
-    return _rounded(anomaly.ewma_detection(hourly, "avg_response_ms", threshold=2.5))
+    return _rounded(anomaly.ewma_detection(hourly, "avg_response_ms", threshold=1.8))
 
 
 def ewma_by_series_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -274,6 +282,38 @@ def detect_all_q(spark: SparkSession, sf: str) -> DataFrame:
     return anomaly.detect_all(_hourly(spark, sf))
 
 
+def detect_region_q(spark: SparkSession, sf: str) -> DataFrame:
+    hourly = _hourly(spark, sf)
+    return anomaly.detect_all(hourly, region="ASIA", methods=("zscore", "iqr")).drop("device")
+
+
+def isolation_forest_checks_q(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of the forest's scores, whatever the random numbers."""
+    scored = materialize(isolation_forest_q(spark, sf))
+    score, flagged = F.col("anomaly_score"), F.col("is_anomaly")
+    limit = F.ceil(0.03 * (F.count(F.lit(1)) - 1))
+    worst_kept = F.min(F.when(~flagged, score))
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        (F.count_if(flagged) <= limit).alias("share_fits"),
+        F.bool_and((F.col("anomaly_label") == -1) == flagged).alias("labels_fit"),
+        (F.min(score) >= -1).alias("low_fits"),
+        (F.max(score) < 0).alias("high_fits"),
+        (F.coalesce(F.max(F.when(flagged, score)), F.lit(-1.0)) <= worst_kept).alias("order_fits"),
+    )
+
+
+def detect_all_checks_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The full report: exact rows of two methods, and the count of the forest's."""
+    found = materialize(detect_all_q(spark, sf))
+    forest = F.col("method") == "isolation_forest"
+    scored = materialize(isolation_forest_q(spark, sf))
+    counted = found.where(forest).agg(F.count(F.lit(1)).alias("n"))
+    wanted = scored.where("is_anomaly").agg(F.count(F.lit(1)).alias("n"))
+    same = counted.select((F.col("n") == wanted.scalar()).alias("same"))
+    return found.where(~forest).drop("device").withColumn("forest_agrees", same.scalar())
+
+
 def anomaly_report_q(spark: SparkSession, sf: str) -> DataFrame:
     return anomaly.anomaly_report(materialize(anomaly.detect_all(_hourly(spark, sf))))
 
@@ -340,34 +380,22 @@ def event_partitions_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enriched_layout_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Write enriched events by region/device and list the directories written."""
+    """Write enriched events by region/device, read each directory back."""
     path = _scratch(spark, "enriched")
     events = _events(spark, sf)
     users, sessions = materialize(user_features(events)), materialize(session_features(events))
     lake.write_enriched(enrich_events(events, users, sessions), path)
-    part = [F.regexp_extract("path", f"{k}=([^/]*)", 1).alias(k) for k in BY_SEGMENT]
-    files = lake.list_partitions(spark, path).select(*part).where("device <> ''")
-    return files.select(F.url_decode("region").alias("region"), "device").distinct()
+    stored = lake.read_table(spark, path)
+    return stored.groupBy(*BY_SEGMENT).agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_distinct("session_id").alias("sessions"),
+        F.sum("user_event_count").alias("user_events"),
+        F.count_if(F.col("converted") == 1).alias("converted"),
+    )
 
 
 def table_stats_q(spark: SparkSession, sf: str) -> DataFrame:
-    names = ("events", "orders", "customer", "lineitem")
-    return lake.table_stats({name: read_table(spark, sf, name) for name in names})
-
-
-def storage_metrics_q(spark: SparkSession, sf: str) -> DataFrame:
-    return lake.storage_metrics(spark, sf)
-
-
-def partition_listing_q(spark: SparkSession, sf: str) -> DataFrame:
-    return lake.list_partitions(spark, sf)
-
-
-def generated_events_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Synthetic events, one per event of the given table."""
-    ids = read_table(spark, sf, "events").select("event_id")
-    users = read_table(spark, sf, "customer").count()
-    return events_from_ids(ids, F.col("event_id"), users)
+    return lake.table_stats({name: read_table(spark, sf, name) for name in oracle.TABLES})
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -379,6 +407,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_report": quality_q,
     "dataset_profile": profile_q,
     "hourly_kpi": hourly_kpi_q,
+    "hourly_kpi_short_gap": hourly_kpi_short_gap_q,
+    "schema_report": schema_report_q,
     "hourly_csv": hourly_csv_q,
     "kpi_summary": kpi_summary_q,
     "timeseries_168h": timeseries_q,
@@ -404,6 +434,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_anomalies": top_anomalies_q,
     "isolation_forest": isolation_forest_q,
     "detect_all": detect_all_q,
+    "detect_region": detect_region_q,
+    "detect_all_checks": detect_all_checks_q,
+    "isolation_forest_checks": isolation_forest_checks_q,
     "anomaly_report": anomaly_report_q,
     "correlate_metrics": correlate_q,
     "granger_tests": granger_tests_q,
@@ -415,9 +448,6 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_partitions": event_partitions_q,
     "enriched_layout": enriched_layout_q,
     "table_stats": table_stats_q,
-    "storage_metrics": storage_metrics_q,
-    "partition_listing": partition_listing_q,
-    "generated_events": generated_events_q,
 }
 
 

