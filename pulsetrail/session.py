@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Runtime settings: safe to apply to a session somebody else created.
@@ -41,3 +45,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to Spark's Python workers, once per application.
+
+    Functions of a module are sent by name, so that what a module caches lasts as long as
+    its worker. Workers of a session that was started elsewhere may have no copy.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_pulsetrail_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="pulsetrail-")
+    with zipfile.ZipFile(f"{folder}/pulsetrail.zip", "w", zipfile.ZIP_DEFLATED) as bundle:
+        for path in sorted(root.rglob("*.py")):
+            bundle.write(path, Path("pulsetrail") / path.relative_to(root))
+    context.addPyFile(f"{folder}/pulsetrail.zip")
+    context._pulsetrail_shipped = True
