@@ -18,23 +18,24 @@ files without rows; columns other than ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
-import re
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.wordbatch import Words, per_slice, ragged_take, split_ascii
+from pulsetrail.llm.wordbatch import Words, bounded, per_slice, ragged_take, split_ascii
 from pulsetrail.materialize import materialize
 
 END_ID = 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 _JOINED = 2_000
-_PLAIN = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+")
+_PLAIN = r"^[a-zA-ZÀ-ÖØ-öø-ÿ]+$"
 _MARKS = ".,!?;:"
+_BEFORE_MARKS = r"^[a-zA-ZÀ-ÖØ-öø-ÿ]+"
 SCHEMA = "doc_id long, row long, ids array<int>"
 
 
@@ -73,30 +74,41 @@ class Encoder:
                 found.update((w, ids.tobytes()) for w, ids in zip(group, self._encode(group)))
         return found
 
-    def encode_words(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces on end, and how many each has."""
-        cores = [p.rstrip(_MARKS) for p in pieces]
-        plain = [_PLAIN.fullmatch(c) is not None for c in cores]
-        first = [c.lower() if ok else p for c, p, ok in zip(cores, pieces, plain)]
-        marks = [p[len(c) :] if ok else "" for c, p, ok in zip(cores, pieces, plain)]
+    def _table(self, plain: list[str], odd: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of letters, then of other pieces, on end, and how many each has."""
         known = self.cache
-        missing = {f: ok for f, ok in zip(first, plain) if f not in known}
-        missing.update((m, False) for m in set(marks) if m not in known)
-        new = self._letters([w for w, ok in missing.items() if ok])
-        odd = [w for w, ok in missing.items() if not ok]
-        new.update((w, ids.tobytes()) for w, ids in zip(odd, self._encode(odd)))
+        new = self._letters([w for w in plain if w not in known])
+        others = [w for w in odd if w not in known]
+        new.update((w, ids.tobytes()) for w, ids in zip(others, self._encode(others)))
         if len(known) + len(new) <= CACHE_WORDS:
             known.update(new)
-            table = known
-        else:
-            table = {**{w: known[w] for w in {*first, *marks} if w in known}, **new}
-        parts = [table[f] + table[m] for f, m in zip(first, marks)]
+            new = {}
+        get, other = known.get, new.get
+        parts = [get(w) or other(w, b"") for w in plain] + [get(w) or other(w, b"") for w in odd]
         lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // np.dtype(self.width).itemsize
         return np.frombuffer(b"".join(parts), self.width), lengths
 
+    def encode_words(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces on end, and how many each has."""
+        cores = pc.utf8_rtrim(pieces, _MARKS)
+        plain = pc.match_substring_regex(cores, _PLAIN).to_numpy(zero_copy_only=False)
+        letters = pc.utf8_lower(cores.filter(pa.array(plain))).dictionary_encode()
+        # What follows the letters, or the whole piece if it is not plain.
+        rest = pc.if_else(pa.array(plain), pc.replace_substring_regex(pieces, _BEFORE_MARKS, ""), pieces)
+        rest = rest.dictionary_encode()
+        values, lengths = self._table(letters.dictionary.to_pylist(), rest.dictionary.to_pylist())
+        # Every piece is two entries of the table: letters, of which a piece may have none,
+        # and the rest, which may be empty.
+        size = len(letters.dictionary)
+        lengths = np.append(lengths, 0)
+        codes = np.full((len(pieces), 2), len(lengths) - 1)
+        codes[plain, 0] = letters.indices.to_numpy()
+        codes[:, 1] = rest.indices.to_numpy() + size
+        return ragged_take(values, lengths, codes.ravel()), lengths[codes].sum(axis=1)
+
     def encode_texts(self, words: Words, end: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts on end, and the offsets of the texts."""
-        values, lengths = self.encode_words(words.distinct.to_pylist())
+        values, lengths = self.encode_words(words.distinct)
         ids = ragged_take(values.astype(np.int32), lengths, words.codes)
         offsets = np.concatenate([[0], np.cumsum(lengths[words.codes])])[words.starts]
         if end is not None:
@@ -130,7 +142,8 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = EN
         return per_slice(work)(batches)
 
     (
-        docs.select(F.col("doc_id").cast("long"), "text")
+        bounded(docs)
+        .select(F.col("doc_id").cast("long"), "text")
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id")
         .mapInArrow(encode, SCHEMA)
