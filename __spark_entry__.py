@@ -123,6 +123,11 @@ def hourly_kpi_q(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(canonical_hourly(spark, sf))
 
 
+def hourly_kpi_events_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The same table by the operator of the batch job, from labelled events."""
+    return _rounded(hourly_kpis(_events(spark, sf)))
+
+
 def hourly_kpi_short_gap_q(spark: SparkSession, sf: str) -> DataFrame:
     """With a pause of five minutes, users have several sessions in an hour."""
     return _rounded(canonical_hourly(spark, sf, 300))
@@ -407,6 +412,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_report": quality_q,
     "dataset_profile": profile_q,
     "hourly_kpi": hourly_kpi_q,
+    "hourly_kpi_events": hourly_kpi_events_q,
     "hourly_kpi_short_gap": hourly_kpi_short_gap_q,
     "schema_report": schema_report_q,
     "hourly_csv": hourly_csv_q,

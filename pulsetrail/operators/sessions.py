@@ -22,7 +22,7 @@ SLOT = "_slot"
 DEFAULT_GAP_S = 30 * 60
 
 
-def _slot(time_col: str, gap_s: int) -> Column:
+def slot_of(time_col: str, gap_s: int) -> Column:
     return F.floor(epoch_micros(F.col(time_col)) / F.lit(gap_s * MICROS))
 
 
@@ -36,7 +36,7 @@ def session_slots(
     micros = epoch_micros(F.col(time_col))
     slots = (
         events.where(F.col(user_col).isNotNull() & F.col(time_col).isNotNull())
-        .groupBy(user_col, _slot(time_col, gap_s).alias(SLOT))
+        .groupBy(user_col, slot_of(time_col, gap_s).alias(SLOT))
         .agg(
             F.min(micros).alias("_first"),
             F.max(micros).alias("_last"),
@@ -72,7 +72,7 @@ def sessionize(
     if slots is None:
         slots = materialize(session_slots(events, gap_s, user_col, time_col))
     labelled = attach_by_key(
-        events.drop("session_seq", "session_id").withColumn(SLOT, _slot(time_col, gap_s)),
+        events.drop("session_seq", "session_id").withColumn(SLOT, slot_of(time_col, gap_s)),
         slots.drop("_first", "_last"),
         [user_col, SLOT],
         weight="_rows",
