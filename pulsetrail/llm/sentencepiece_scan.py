@@ -12,8 +12,8 @@ words. At a cut the only state is how many characters of the next chunk the piec
 spans the cut takes, less than the length of the longest piece. A chunk gives a matrix of
 best scores from each state at its left end to each at its right end. Matrices combine
 associatively, ``FAN`` neighbours at a time, up to one block per text; on the way down
-each chunk learns the best scores at its left end and its two states, from the right end
-to the left, and then its pieces are read off independently of the other chunks.
+the two states of a block fix those of its members, and then the pieces of each chunk are
+read off independently of the other chunks.
 
 The scores are those of the model file, taken as unigram scores; sums are whole numbers,
 exact in doubles. Equal sums: the longer last piece wins inside a chunk, the smaller
@@ -32,6 +32,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -41,14 +42,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.wordbatch import Words, per_slice, ragged_take, split_on
+from pulsetrail.llm.wordbatch import Words, map_texts, ragged_take, split_on
 from pulsetrail.materialize import materialize
 
 MARK = "▁"
+_MARKS = ".,!?;:)]}\"'|&%$#*"
 UNKNOWN_PENALTY = 10
 CHUNK_CHARS = 32_768
 FAN = 64
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 IDS = "doc_id long, ids array<int>"
 
 
@@ -82,7 +84,15 @@ class Pieces:
         self.id_score = np.zeros(len(texts))
         for piece, i in self.id.items():
             self.id_score[i] = self.score[piece]
-        self.cache: dict[str, tuple[bytes, float]] = {}
+        self.path_score = self.id_score.copy()
+        for byte, i in self.byte_id.items():
+            if byte < 0x80 or byte >= 0xC0:
+                self.path_score[i] = self.unknown
+        # Closing marks that no piece has behind a letter: where they follow one, the best
+        # path of a word is that of what stands before them and that of the marks.
+        behind = {b for p in self.score for a, b in zip(p, p[1:]) if a.isalpha()}
+        self.marks = "".join(sorted(set(_MARKS) - behind))
+        self.cache: dict[str, bytes] = {}
 
     def path(self, text: str, start: int, stop: int, reach: int | None = None) -> tuple[float, list[int]]:
         """Best score and ids of ``text[start:stop]``; -inf if a single piece must not end there.
@@ -119,27 +129,76 @@ class Pieces:
             j = back[j]
         return best[stop], [i for part in reversed(ids) for i in part]
 
-    def solve(self, words: list[str]) -> list[tuple[bytes, float]]:
-        """Ids (as bytes) and score of each word."""
+    def word(self, text: str) -> bytes:
+        """Ids of the best path of a word; the same rule as ``path``."""
+        size, starts, longest, unknown = len(text), self.starts, self.longest, self.unknown
+        best, back = [-np.inf] * (size + 1), [0] * (size + 1)
+        best[0] = 0.0
+        for i in range(size):
+            here = best[i]
+            single = False
+            for j in range(i + 1, min(i + longest, size) + 1):
+                value = starts.get(text[i:j], False)
+                if value is False:
+                    break
+                if value is None:
+                    continue
+                if j == i + 1:
+                    single = True
+                if here + value > best[j]:
+                    best[j] = here + value
+                    back[j] = i
+            if not single and here + unknown > best[i + 1]:
+                best[i + 1] = here + unknown
+                back[i + 1] = i
+        ids, j = [], size
+        while j:
+            i = back[j]
+            known = self.id.get(text[i:j])
+            if known is None:
+                ids.extend(self.byte_id[b] for b in reversed(text[i:j].encode()))
+            else:
+                ids.append(known)
+            j = i
+        ids.reverse()
+        return array("i", ids).tobytes()
+
+    def solve(self, words: list[str]) -> list[bytes]:
+        """Ids (as bytes) of each word."""
         known, out = self.cache, []
         for word in words:
             found = known.get(word)
             if found is None:
-                value, ids = self.path(word, 0, len(word))
-                found = (np.array(ids, np.int32).tobytes(), value)
+                found = self.word(word)
                 if len(known) < CACHE_WORDS:
                     known[word] = found
             out.append(found)
         return out
 
-    def encode_words(self, words: Words, prefix: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts on end, offsets of the texts, and their scores."""
-        solved = self.solve([prefix + w.replace(" ", prefix) for w in words.distinct.to_pylist()])
-        values = np.frombuffer(b"".join(ids for ids, _ in solved), np.int32)
-        lengths = np.fromiter((len(ids) // 4 for ids, _ in solved), np.int64, len(solved))
-        ids = ragged_take(values, lengths, words.codes)
-        offsets = np.concatenate([[0], np.cumsum(lengths[words.codes])])[words.starts]
-        return ids, offsets, np.array([s for _, s in solved])
+    def score_of(self, ids: bytes) -> float:
+        """Sum of scores, where the first byte of an unknown character has its cost."""
+        return float(self.path_score[np.frombuffer(ids, np.int32)].sum())
+
+    def encode_words(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts on end, and offsets of the texts."""
+        marked = pc.binary_join_element_wise(MARK, pc.replace_substring(words.distinct, " ", MARK), "")
+        cores = pc.utf8_rtrim(marked, self.marks)
+        cores = pc.if_else(pc.match_substring_regex(cores, r"\p{L}$"), cores, marked)
+        cut = pc.less(pc.utf8_length(cores), pc.utf8_length(marked)).to_numpy(zero_copy_only=False)
+        cores = cores.dictionary_encode()
+        class_ = "".join(map(re.escape, self.marks))
+        rest = pc.replace_substring_regex(marked.filter(pa.array(cut)), f"(?s)^.*[^{class_}]", "").dictionary_encode()
+        solved = self.solve(cores.dictionary.to_pylist()) + self.solve(rest.dictionary.to_pylist()) + [b""]
+        values = np.frombuffer(b"".join(solved), np.int32)
+        lengths = np.fromiter(map(len, solved), np.int64, len(solved)) // 4
+        del solved
+        parts = np.full((len(marked), 2), len(lengths) - 1)
+        parts[:, 0] = cores.indices.to_numpy()
+        parts[cut, 1] = rest.indices.to_numpy() + len(cores.dictionary)
+        per_word = ragged_take(values, lengths, parts.ravel())
+        lengths = lengths[parts].sum(axis=1)
+        ids = ragged_take(per_word, lengths, words.codes)
+        return ids, np.concatenate([[0], np.cumsum(lengths[words.codes])])[words.starts]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
         """UTF-8 of each text, without the space in front."""
@@ -183,10 +242,10 @@ def _word_split(texts: pa.Array) -> Words:
 
 def _encode_plain(model: str):
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, offsets, _ = _pieces(model).encode_words(_word_split(_spaced(batch["text"])), MARK)
+        ids, offsets = _pieces(model).encode_words(_word_split(_spaced(batch["text"])))
         return pa.RecordBatch.from_arrays([batch["doc_id"], _lists(ids, offsets)], names=["doc_id", "ids"])
 
-    return per_slice(work)
+    return work
 
 
 # ---- giant texts ------------------------------------------------------------------
@@ -201,7 +260,7 @@ class Chunk:
         cuts = [m.start() + 1 for m in re.finditer(f"[^{MARK}]{MARK}", text)]
         self.first, self.last = (cuts[0], cuts[-1]) if cuts else (None, None)
 
-    def middle(self, pieces: Pieces) -> list[tuple[bytes, float]]:
+    def middle(self, pieces: Pieces) -> list[bytes]:
         if self.first == self.last:
             return []
         part = self.text[self.first : self.last]
@@ -219,7 +278,7 @@ class Chunk:
                 if i - self.size < states:
                     out[i, i - self.size] = 0.0
             return out
-        middle = sum(score for _, score in self.middle(pieces))
+        middle = pieces.score_of(b"".join(self.middle(pieces)))
         left = [pieces.path(self.text, i, self.first)[0] if i <= self.first else -np.inf for i in range(states)]
         right = [self._leap(pieces, self.last, j) for j in exits]
         out[:, : len(right)] = np.add.outer(np.array(left), np.array(right)) + middle
@@ -238,7 +297,7 @@ class Chunk:
             return np.array(pieces.path(self.text, entry, stop, self.size)[1], np.int32).tobytes()
         left = pieces.path(self.text, entry, self.first)[1]
         right = pieces.path(self.text, self.last, stop, self.size)[1]
-        middle = b"".join(ids for ids, _ in self.middle(pieces))
+        middle = b"".join(self.middle(pieces))
         return np.array(left, np.int32).tobytes() + middle + np.array(right, np.int32).tobytes()
 
 
@@ -252,15 +311,16 @@ def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out - out.max()
 
 
-def resolve(matrices: list[np.ndarray], enter: np.ndarray, leave: int) -> list[tuple[np.ndarray, int, int]]:
-    """For each of some neighbours: best scores at its left end, entry and exit state."""
-    before = [enter]
+def resolve(matrices: list[np.ndarray], enter: int, leave: int) -> list[tuple[int, int]]:
+    """Entry and exit state of each of some neighbours on a best path between two states."""
+    start = np.where(np.arange(len(matrices[0])) == enter, 0.0, -np.inf)
+    before = [start]
     for m in matrices[:-1]:
         before.append(combine(before[-1], m))
     out = []
     for m, v in zip(reversed(matrices), reversed(before)):
         entry = int(np.argmax(v + m[:, leave]))
-        out.append((v, entry, leave))
+        out.append((entry, leave))
         leave = entry
     return out[::-1]
 
@@ -314,22 +374,12 @@ def _product(group: pd.DataFrame) -> pd.DataFrame:
 def _place(group: pd.DataFrame) -> pd.DataFrame:
     group = group.sort_values("part")
     matrices = [_square(m) for m in group["m"]]
-    states = len(matrices[0])
-    enter, leave = group["enter"].iloc[0], group["leave"].iloc[0]
-    start = np.where(np.arange(states) == 0, 0.0, -np.inf) if enter is None else np.asarray(enter, float)
-    found = resolve(matrices, start, int(leave))
-    return pd.DataFrame(
-        {
-            "key": group["key"].to_numpy(),
-            "part": group["part"].to_numpy(),
-            "enter": [v.tolist() for v, _, _ in found],
-            "entry": [e for _, e, _ in found],
-            "leave": [x for _, _, x in found],
-        }
-    )
+    found = resolve(matrices, int(group["entry"].iloc[0]), int(group["leave"].iloc[0]))
+    entry, leave = zip(*found)
+    return pd.DataFrame({"key": group["key"].to_numpy(), "part": group["part"].to_numpy(), "entry": entry, "leave": leave})
 
 
-_PLACED = "key string, part long, enter array<double>, entry int, leave int"
+_PLACED = "key string, part long, entry int, leave int"
 
 
 def _scan(chunks: DataFrame, model: str) -> DataFrame:
@@ -341,13 +391,13 @@ def _scan(chunks: DataFrame, model: str) -> DataFrame:
         grouped = levels[-1].withColumn("block", block).groupBy("key", "block")
         levels.append(materialize(grouped.applyInPandas(_product, matrix)))
     top = levels.pop()
-    first = top.withColumns({"enter": F.lit(None).cast("array<double>"), "leave": F.lit(0)})
+    first = top.withColumns({"entry": F.lit(0), "leave": F.lit(0)})
     placed = materialize(first.groupBy("key").applyInPandas(_place, _PLACED))
     while levels:
-        above = placed.select("key", F.col("part").alias("block"), "enter", "leave")
+        above = placed.select("key", F.col("part").alias("block"), "entry", "leave")
         below = levels.pop().withColumn("block", block).join(above, ["key", "block"])
         placed = materialize(below.groupBy("key", "block").applyInPandas(_place, _PLACED))
-    return placed.select("key", "part", "entry", "leave")
+    return placed
 
 
 def _chunk_ids(model: str):
@@ -376,7 +426,7 @@ def encode(docs: DataFrame, model: str, chunk_chars: int = CHUNK_CHARS) -> DataF
     """One row per row of ``docs``: doc_id, ids. ``model`` must exist on all executors."""
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     giant = F.length("text") > chunk_chars
-    plain = rows.where(~giant).mapInArrow(_encode_plain(model), IDS)
+    plain = map_texts(rows.where(~giant), _encode_plain(model), IDS)
     large = rows.where(giant).select("doc_id", F.sha2("text", 256).alias("key"), "text")
     distinct = large.dropDuplicates(["key"]).select(
         "key", F.translate("text", MARK, " ").alias("text")
