@@ -156,6 +156,7 @@ _RULES = {
     "null_user_id": "user_id IS NULL",
     "null_event_type": "event_type IS NULL",
     "null_timestamp": "timestamp IS NULL",
+    "unusable_revenue": "revenue IS NOT NULL AND TRY_CAST(revenue AS DECIMAL(18,6)) IS NULL",
     "unknown_event_type": "event_type NOT IN ('signup','error','click','view','purchase')",
     "negative_price": "price < 0",
     "negative_latency": "response_time_ms < 0",
