@@ -26,49 +26,59 @@ equal texts get equal results; rows repeat as they come; columns other than ``do
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsetrail.llm.ngrams import Grams, distinct_rows, find, hash_columns
-from pulsetrail.llm.wordbatch import per_slice, split_ascii, text_sums
+from pulsetrail.llm.wordbatch import Words, map_texts, split_ascii, text_sums
 from pulsetrail.materialize import materialize
 
 ORDER = 4
 LEAST_SHARE = 1e-6
+CACHE_WORDS = 200_000
+BLOCK_WORDS = 20_000
 SYMBOLS = 1 << 16  # an unseen symbol is one of so many
 EVIDENCE = 50
 QUANTILE = 0.999
 MARGIN = 2.0
 UNDEFINED = "und"
 _COLUMNS = [f"s{k}" for k in range(ORDER - 1, -1, -1)]
-_LETTERS = regex.compile(r"\p{L}+")
 
 
-def _letter_words(distinct: pa.Array) -> tuple[list[str], np.ndarray]:
-    """Runs of letters in the distinct words, and which word each is from."""
-    runs = [_LETTERS.findall(word.lower()) for word in distinct.to_pylist()]
-    counts = np.fromiter(map(len, runs), np.int64, len(runs))
-    return [run for found in runs for run in found], np.repeat(np.arange(len(runs)), counts)
+def _letters(words: Words) -> tuple[np.ndarray, list[str]]:
+    """What is left of the words in lower case: runs of letters, parted by a space.
+
+    The first value is the number of each word's remains in the second.
+    """
+    lower = pc.utf8_lower(words.distinct)
+    kept = pc.utf8_trim(pc.replace_substring_regex(lower, r"\P{L}+", " "), " ").dictionary_encode()
+    return kept.indices.to_numpy()[words.codes], kept.dictionary.to_pylist()
+
+
+def _grams(remains: list[str]) -> tuple[Grams, np.ndarray]:
+    """Grams of all runs, and whose remains each predicted symbol is of."""
+    runs = [r.split(" ") if r else [] for r in remains]
+    source = np.repeat(np.arange(len(runs)), np.fromiter(map(len, runs), np.int64, len(runs)))
+    grams = Grams([run for found in runs for run in found])
+    return grams, source[grams.word[grams.predicted]] if len(source) else source
 
 
 def _count_grams(batch: pa.RecordBatch) -> pa.RecordBatch:
     words = split_ascii(batch["text"])
-    runs, source = _letter_words(words.distinct)
-    grams = Grams(runs)
+    codes, remains = _letters(words)
+    grams, source = _grams(remains)
     columns = grams.columns(ORDER)
-    of_word = source[grams.word[grams.predicted]] if len(runs) else np.zeros(0, np.int64)
     languages = batch["lang"].dictionary_encode()
     row_of = np.repeat(np.arange(batch.num_rows), np.diff(words.starts))
     language_of = languages.indices.to_numpy()[row_of]
     out = []
     for number, language in enumerate(languages.dictionary.to_pylist()):
-        uses = np.bincount(words.codes[language_of == number], minlength=len(words.distinct))
-        counts = uses[of_word]
+        counts = np.bincount(codes[language_of == number], minlength=len(remains))[source]
         used = np.flatnonzero(counts)
         kept, sums = distinct_rows([c[used] for c in columns], counts[used])
         out.append(pa.RecordBatch.from_arrays(
@@ -88,6 +98,40 @@ class Model:
     contexts: list[np.ndarray]
     weights: list[np.ndarray]  # contexts + 1 rows, the last 1
     base: np.ndarray
+    known: dict[str, int] = field(default_factory=dict)  # rows of the two below
+    costs: np.ndarray | None = None
+    sizes: np.ndarray | None = None
+
+    def words(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Costs in bits by language, and numbers of symbols, of remains of words.
+
+        The first CACHE_WORDS that a Python worker sees are remembered.
+        """
+        if self.costs is None:
+            self.costs = np.zeros((CACHE_WORDS, len(self.languages)), np.float32)
+            self.sizes = np.zeros(CACHE_WORDS, np.int32)
+        rows = np.fromiter((self.known.get(w, -1) for w in distinct), np.int64, len(distinct))
+        costs, sizes = self.costs[rows], self.sizes[rows]
+        missing = np.flatnonzero(rows < 0)
+        for at in np.split(missing, range(BLOCK_WORDS, len(missing), BLOCK_WORDS)):
+            block = [distinct[i] for i in at]
+            costs[at], sizes[at] = self._fresh(block)
+            room = CACHE_WORDS - len(self.known)
+            first = len(self.known)
+            self.known.update(zip(block[:room], range(first, first + room)))
+            last = len(self.known)
+            self.costs[first:last], self.sizes[first:last] = costs[at[:room]], sizes[at[:room]]
+        return costs, sizes
+
+    def _fresh(self, remains: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        out = np.zeros((len(remains), len(self.languages)))
+        grams, source = _grams(remains)
+        if not len(source):
+            return out, np.zeros(len(remains), np.int64)
+        bits = self.bits(grams)
+        for number in range(out.shape[1]):
+            out[:, number] = np.bincount(source, weights=bits[:, number], minlength=len(out))
+        return out, np.bincount(source, minlength=len(out))
 
     def bits(self, grams: Grams) -> np.ndarray:
         """Cost of each predicted symbol in each language."""
@@ -157,7 +201,7 @@ def train(docs: DataFrame) -> Model | None:
     rows = docs.select("text", "lang").where("lang is not null and text is not null")
     schema = ", ".join(["lang string", *[f"{c} long" for c in _COLUMNS], "n long"])
     counted = materialize(
-        rows.mapInArrow(per_slice(_count_grams), schema)
+        map_texts(rows, _count_grams, schema)
         .groupBy("lang", *_COLUMNS)
         .agg(F.sum("n").alias("n"))
     )
@@ -189,18 +233,11 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = shared.value
         words = split_ascii(batch["text"])
-        runs, source = _letter_words(words.distinct)
-        grams = Grams(runs)
-        size = len(model.languages)
-        costs, symbols = np.zeros((len(words.distinct), size)), np.zeros(len(words.distinct))
-        if runs:
-            bits = model.bits(grams)
-            of_word = source[grams.word[grams.predicted]]
-            for number in range(size):
-                costs[:, number] = np.bincount(of_word, weights=bits[:, number], minlength=len(costs))
-            symbols = np.bincount(of_word, minlength=len(costs)).astype(float)
-        count = text_sums(symbols[words.codes], words.starts)
-        entropy = text_sums(costs[words.codes], words.starts) / np.maximum(count, 1)[:, None]
+        codes, remains = _letters(words)
+        costs, symbols = model.words(remains)
+        count = text_sums(symbols[codes].astype(float), words.starts)
+        entropy = np.column_stack([text_sums(c[codes].astype(float), words.starts) for c in costs.T])
+        entropy /= np.maximum(count, 1)[:, None]
         best = entropy.argmin(axis=1)
         least = entropy[np.arange(len(best)), best]
         weight = np.exp2(-(entropy - least[:, None]) * np.minimum(count, EVIDENCE)[:, None])
@@ -220,7 +257,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     schema = ", ".join(
         [*[f"`{c}` {types[c]}" for c in keep], "lang_pred string, score double, entropy double, symbols long"]
     )
-    return docs.select(*kept, "text").mapInArrow(per_slice(work), schema)
+    return map_texts(docs.select(*kept, "text"), work, schema)
 
 
 def with_rejection(predicted: DataFrame, lang: str, learned: str) -> DataFrame:
