@@ -362,6 +362,29 @@ def rca_hypotheses_q(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def rca_findings_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The report of two metrics' worst anomalies, its lists joined to text."""
+    hourly = _hourly(spark, sf)
+    found = anomaly.detect_all(hourly, methods=("zscore", "iqr"))
+    worst = anomaly.top_anomalies(found.where(F.col("metric").isin(*oracle.RCA_TARGETS)), 15)
+    report = rca.rca_report(hourly, materialize(worst), max_lag=1, window=WINDOW)
+    names = F.transform("top_correlations", lambda c: c["feature"])
+    drivers = F.transform("segment_drivers", lambda d: F.concat_ws(":", d["dimension"], d["segment"]))
+    return report.select(
+        "anomaly.metric",
+        "anomaly.timestamp",
+        "anomaly.value",
+        "target_metric",
+        F.array_join(names, ",").alias("correlated"),
+        F.array_join("leading_indicators", ",").alias("leaders"),
+        F.array_join("hypotheses", "|").alias("hypotheses"),
+        F.array_join("recommended_actions", "|").alias("actions"),
+        F.array_join(drivers, ",").alias("drivers"),
+        "confidence",
+        "summary",
+    )
+
+
 def rca_report_q(spark: SparkSession, sf: str) -> DataFrame:
     hourly = _hourly(spark, sf)
     worst = anomaly.top_anomalies(anomaly.detect_all(hourly, methods=("zscore", "iqr")), 15)
@@ -450,6 +473,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "segment_anomaly": segment_anomaly_q,
     "segment_by_category": segment_by_category_q,
     "rca_hypotheses": rca_hypotheses_q,
+    "rca_findings": rca_findings_q,
     "rca_report": rca_report_q,
     "event_partitions": event_partitions_q,
     "enriched_layout": enriched_layout_q,

@@ -8,6 +8,8 @@ file listings, hash-generated rows) have no SQL equivalent.
 
 from __future__ import annotations
 
+from pulsetrail.operators.rca import ERROR_ACTIONS
+
 GRANGER_METRICS = ("error_rate", "avg_response_ms", "total_revenue", "event_count")
 GRANGER_PAIRS = [
     ("error_rate", "avg_response_ms"),
@@ -414,10 +416,7 @@ SELECT feature, pearson_r, {_r('p', 'p_value')}, p < 0.05 AS significant, direct
 FROM tested"""
 
 
-def _hypotheses() -> str:
-    rows = " UNION ALL ".join(f"({_correlations(t)})" for t in CANDIDATES)
-    return f"""WITH {HOURLY}, c AS ({rows})
-SELECT target, position, feature,
+_HYPOTHESIS = """
   CASE WHEN feature = 'avg_response_ms' AND direction = 'positive' AND target = 'error_rate'
        THEN 'Infrastructure degradation: high response times co-occur with errors → possible timeout cascade'
        WHEN feature = 'event_count' AND direction = 'negative'
@@ -426,7 +425,13 @@ SELECT target, position, feature,
        WHEN feature = 'error_rate' AND direction = 'negative' AND target = 'total_revenue'
        THEN 'Error spike blocking checkout flow — users unable to complete purchases'
        ELSE printf('%s (%sly correlated, r=%.2f) may be contributing cause',
-                   feature, direction, pearson_r) END AS hypothesis
+                   feature, direction, pearson_r) END"""
+
+
+def _hypotheses() -> str:
+    rows = " UNION ALL ".join(f"({_correlations(t)})" for t in CANDIDATES)
+    return f"""WITH {HOURLY}, c AS ({rows})
+SELECT target, position, feature, {_HYPOTHESIS} AS hypothesis
 FROM c WHERE position <= 3"""
 
 
@@ -525,6 +530,52 @@ SELECT column_name, expected, actual,
             ELSE 'type' END AS problem
 FROM want FULL JOIN have USING (column_name) WHERE expected IS DISTINCT FROM actual"""
 
+RCA_TARGETS = ("error_rate", "event_count")
+
+
+def _rca_findings() -> str:
+    """The report put together from the correlations, tests and segments above."""
+    pairs = [(t, c) for t in RCA_TARGETS for c in CANDIDATES if c != t]
+    tags = {f"r{i}": pair for i, pair in enumerate(pairs)}
+    ctes = ",\n".join(_granger_ctes(t, c, 1, tag) for tag, (t, c) in tags.items())
+    tests = " UNION ALL ".join(f"SELECT * FROM {tag}" for tag in tags)
+    tail = _f_tail("f", "CAST(lag AS DOUBLE)", "CAST(df_den AS DOUBLE)")
+    corr = " UNION ALL ".join(f"({_correlations(t)})" for t in RCA_TARGETS)
+    drivers = " UNION ALL ".join(
+        f"(WITH {_segments('hourly', t, ('region', 'device'))})".replace(
+            "SELECT c.*,", f"SELECT DISTINCT '{t}' AS target, c.dimension,"
+        ).replace(", d.pct_change AS driver_change", "")
+        for t in RCA_TARGETS
+    )
+    wanted = ", ".join(f"'{t}'" for t in RCA_TARGETS)
+    actions = "|".join(ERROR_ACTIONS)
+    return f"""WITH {HOURLY}, {FOUND},
+worst AS (SELECT * FROM found WHERE metric IN ({wanted})
+  ORDER BY list_position(['critical', 'high', 'medium', 'low'], severity), abs(deviation) DESC,
+           method, metric, timestamp, region NULLS FIRST, value LIMIT 15),
+corr AS ({corr}), {ctes},
+fs AS (SELECT *, greatest(rr - ru, 0) / lag / (ru / df_den) AS f FROM ({tests})),
+causes AS (SELECT target AS t, candidate, {tail} < 0.05 AS causes FROM fs),
+named AS (SELECT corr.*, causes, {_HYPOTHESIS} AS hypothesis
+          FROM corr JOIN causes ON corr.target = t AND feature = candidate),
+per AS (
+  SELECT target, string_agg(feature, ',' ORDER BY position) FILTER (position <= 5) AS correlated,
+         string_agg(chr(39) || feature || chr(39), ', ' ORDER BY position) FILTER (position <= 2) AS two,
+         coalesce(string_agg(feature, ',' ORDER BY position) FILTER (position <= 3 AND causes), '') AS leaders,
+         string_agg(chr(39) || feature || chr(39), ', ' ORDER BY position) FILTER (position <= 3 AND causes) AS quoted,
+         string_agg(hypothesis, '|' ORDER BY position) FILTER (position <= 3) AS hypotheses,
+         arg_min(hypothesis, position) AS first FROM named GROUP BY target),
+driven AS (SELECT target, string_agg(dimension || ':' || primary_driver, ',' ORDER BY dimension) AS drivers
+           FROM ({drivers}) GROUP BY target)
+SELECT metric, timestamp, value, metric AS target_metric, correlated, leaders, hypotheses,
+  CASE WHEN metric = 'error_rate' AND value > 0.05 THEN '{actions}' ELSE '' END AS actions, drivers,
+  CASE WHEN leaders <> '' THEN 'high' ELSE 'medium' END AS confidence,
+  'Anomaly detected in ' || metric || ' at ' || CAST(timestamp AS VARCHAR) || '. Top correlated metrics: ['
+  || two || ']. Leading indicators: ' || coalesce('[' || quoted || ']', 'none found')
+  || '. Hypothesis: ' || first || '.' AS summary
+FROM worst JOIN per ON metric = per.target JOIN driven ON metric = driven.target"""
+
+
 CATEGORY_DIMS = ("region", "device", "category")
 
 
@@ -647,6 +698,7 @@ LIMIT 50""",
         "segment_by_category": f"""WITH {CANON}, {_hourly_cte('hourly', 'region, device, category')},
 {_segments('hourly', 'total_revenue', CATEGORY_DIMS)}""",
         "rca_hypotheses": _hypotheses(),
+        "rca_findings": _rca_findings(),
         "event_partitions": f"""WITH {CANON}, e AS (SELECT *, CAST(timestamp_dt AS DATE) AS dt FROM ev),
 p AS (SELECT region, dt, count(*) AS c, count(*) FILTER (event_type = 'purchase') AS b
       FROM e GROUP BY 1, 2)

@@ -145,3 +145,16 @@ def test_report_per_series_stays_one_row(spark):
     assert len(rows) == 1 and len(rows[0].granger_causality) == 3
     assert rows[0].recommended_actions == []  # below the error level
     assert {g.region for g in rows[0].granger_causality} <= set(REGIONS)
+
+
+def test_report_of_any_metric_the_table_has(spark):
+    hourly = to_spark(spark, hourly_frame(200))
+    anomalies = spark.sql(
+        "SELECT * FROM VALUES ('unique_sessions', TIMESTAMP_NTZ'2023-06-07 02:00:00', 9D), "
+        "('multivariate', TIMESTAMP_NTZ'2023-06-07 03:00:00', 0D) AS t(metric, timestamp, value)"
+    )
+    rows = {r.target_metric: r for r in rca.rca_report(hourly, anomalies).collect()}
+    found = rows["unique_sessions"]
+    assert len(found.top_correlations) == 5 and len(found.hypotheses) == 3
+    assert "Top correlated metrics: ['" in found.summary
+    assert rows["multivariate"].hypotheses == [] and rows["multivariate"].top_correlations is None
