@@ -94,11 +94,22 @@ def exact_duplicates(
 
 
 def drop_copies(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
-    """``docs`` without the rows whose text another row with a larger id has."""
-    found = materialize(exact_duplicates(docs, prefix_chars).where("group_size > 1"))
-    gone = found.where("not kept").select("doc_id", "text_sha256").distinct()
-    same = "d.doc_id = g.doc_id and sha2(coalesce(d.text, ''), 256) = g.text_sha256"
-    rest = docs.alias("d").join(gone.alias("g"), F.expr(same), "left_anti")
+    """``docs`` without the rows whose text another row with a larger id has.
+
+    Every text is hashed where it is read: to hash the survivors alone, the texts would
+    have to be moved to the join that tells which rows survive, which costs more.
+    """
+    found = materialize(exact_duplicates(docs, prefix_chars, digest_all=True).where("group_size > 1"))
+    dropped = found.where("not kept")
+    ids = materialize(dropped.select("doc_id").distinct())
+    # If no row that stays has the id of one that goes, ids alone tell them apart: the
+    # list is narrow, and no text is hashed or moved where it is small enough to broadcast.
+    if docs.select("doc_id").join(ids, "doc_id", "left_semi").count() == dropped.count():
+        rest = docs.join(ids, "doc_id", "left_anti")
+    else:
+        gone = dropped.select("doc_id", "text_sha256").distinct()
+        same = "d.doc_id = g.doc_id and sha2(coalesce(d.text, ''), 256) = g.text_sha256"
+        rest = docs.alias("d").join(gone.alias("g"), F.expr(same), "left_anti")
     repeated = materialize(
         found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
     )
