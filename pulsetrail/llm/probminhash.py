@@ -13,15 +13,17 @@ themselves (32-bit shingle hashes), and classes are the connected components of
 with an index of at least ``THRESHOLD``.
 
 Nobody lists the pairs of a bucket. In a round a bucket that holds several classes names
-pivots, about ``PAIRS`` / size of those that have not been one and at least one, and all its
-members of other classes are compared with them; equal pairs of different buckets and of
-earlier rounds are compared once. A group of near copies is joined by its first pivot and
-is done; where classes stay apart the number of pivots doubles, until every member has
-been a pivot or has the whole bucket in its class. No bucket is capped and no pair that
-could join two classes is left out.
-
-Hot keys: rows of buckets and classes are a few numbers each; the one join that carries
-shingles by pivot splits a pivot's members over tasks of ``PER_TASK``.
+pivots outside its first class, at first about ``PAIRS`` / size and at least one, and all
+its members of other classes are compared with them; equal pairs of different buckets and
+of earlier rounds are compared once. A group of near copies is joined by its first pivot;
+what stays apart from it names ``GROWTH`` times as many pivots each round, until every
+member outside the first class has been one. No bucket is capped and no pair that could
+join two classes is left out.
+
+Hot keys: rows of buckets and classes are a few numbers each. Pairs that cannot pass are turned
+down inside the join, by an exact bound on small maps of the shingles, so that the rows made
+follow the links and not the square of the bucket. The one join that carries shingles by
+pivot splits a pivot's members over tasks of ``PER_TASK``.
 
 Defined cases: a null text is the empty text; a text of fewer than five words is one
 shingle of them all; texts without words are equal to each other; rows may repeat, and a
@@ -31,13 +33,16 @@ table gives an empty result; columns other than ``doc_id`` and ``text`` are not
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.wordbatch import Words, map_texts, split_ascii
+from pulsetrail.llm.wordbatch import Words, bounded, map_texts, split_ascii
 from pulsetrail.materialize import materialize, release
 
 SHINGLE_WORDS = 5
@@ -46,7 +51,10 @@ BANDS = 25
 ROWS = 5
 REGISTERS = BANDS * ROWS
 PAIRS = 64
+GROWTH = 8
 PER_TASK = 2_000
+MAP_LONGS = 32  # 2,048 bits: beyond about as many shingles the maps tell little
+OFTEN = 4
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -155,13 +163,32 @@ def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
 def _bag(batch: pa.RecordBatch) -> pa.RecordBatch:
     value, weights, bounds, digest = shingles(batch["text"], 32)
     offsets = pa.array(bounds.astype(np.int32))
+    owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
+    map_ = np.zeros((batch.num_rows, MAP_LONGS), np.uint64)
+    place = value % np.uint64(64 * MAP_LONGS)
+    np.bitwise_or.at(map_, (owner, (place >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (place & np.uint64(63)))
+    # The shingles that a bag repeats often: a hash of their set, and at least how much
+    # they weigh beyond one each.
+    often = np.flatnonzero(weights >= OFTEN)
+    heavy, least = np.zeros(batch.num_rows, np.uint64), np.full(batch.num_rows, 1 << 40)
+    with np.errstate(over="ignore"):
+        np.add.at(heavy, owner[often], _mix(value[often]))
+    np.minimum.at(least, owner[often], weights[often])
+    weight = (least - 1) * np.bincount(owner[often], minlength=batch.num_rows)
+    total = np.bincount(owner, weights=weights, minlength=batch.num_rows).astype(np.int64)
+    maps = pa.FixedSizeListArray.from_arrays(pa.array(map_.view(np.int64).ravel()), MAP_LONGS)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(digest.view(np.int64)),
             pa.ListArray.from_arrays(offsets, pa.array(value.astype(np.uint32).view(np.int32))),
             pa.ListArray.from_arrays(offsets, pa.array(weights.astype(np.int32))),
+            maps.cast(pa.list_(pa.int64())),
+            pa.array(np.diff(bounds)),
+            pa.array(total),
+            pa.array(heavy.view(np.int64)),
+            pa.array(weight),
         ],
-        names=["member", "value", "weight"],
+        names=["member", "value", "weight", "map", "kinds", "total", "heavy", "most"],
     )
 
 
@@ -201,45 +228,42 @@ def _verify(batches):
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``member, label`` of every node (member, label): labels joined along the edges.
 
-    Edges (a, b) join labels. Every label points to the least it is linked to, pointers
-    are followed, and links between pointers that still differ are kept, until none do.
+    Edges (a, b) join labels. Every label points to the least it is linked to; pointers
+    are followed to their ends, and links between ends that differ go on, until there are
+    none. Each step at least halves the linked labels.
     """
     links = materialize(edges.where("a <> b").distinct())
     while not links.isEmpty():
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("b")).where("b < a")
-        parent = materialize(least.select(F.col("a").alias("label"), F.col("b").alias("up")))
-        while True:
-            higher = parent.select(F.col("label").alias("up"), F.col("up").alias("top"))
-            jumped = parent.join(higher, "up", "left").select(
-                "label", F.coalesce("top", "up").alias("up"), F.col("top").isNotNull().alias("moved")
-            )
-            jumped = materialize(jumped)
+        least = both.groupBy("a").agg(F.min("b").alias("b"))
+        parent = materialize(least.select(F.col("a").alias("label"), F.least("a", "b").alias("up")))
+        while not parent.join(_follow(parent), "label").where("top <> up").isEmpty():
+            further = materialize(_follow(parent).select("label", F.col("top").alias("up")))
             release(parent)
-            parent = jumped.drop("moved")
-            parent._pulsetrail_copy = jumped._pulsetrail_copy
-            if jumped.where("moved").isEmpty():
-                break
+            parent = further
         old = nodes
         nodes = materialize(
             nodes.join(parent, "label", "left").select("member", F.coalesce("up", "label").alias("label"))
         )
         release(old)
-        left = parent.select(F.col("label").alias("a"), F.col("up").alias("a2"))
-        right = parent.select(F.col("label").alias("b"), F.col("up").alias("b2"))
-        rest = (
-            links.join(left, "a", "left")
-            .join(right, "b", "left")
-            .select(F.coalesce("a2", "a").alias("a"), F.coalesce("b2", "b").alias("b"))
-            .where("a <> b")
-            .distinct()
-        )
-        rest = materialize(rest)
+        ends = [parent.select(F.col("label").alias(x), F.col("up").alias(f"{x}_up")) for x in ("a", "b")]
+        rest = links.join(ends[0], "a").join(ends[1], "b").where("a_up <> b_up")
+        rest = materialize(rest.select(F.col("a_up").alias("a"), F.col("b_up").alias("b")).distinct())
         release(links, parent)
         links = rest
+    release(links)
     return nodes
 
 
+def _follow(parent: DataFrame) -> DataFrame:
+    """label, top: the pointer of each pointer, three steps at once."""
+    out = parent.select("label", F.col("up").alias("top"))
+    for _ in range(3):
+        step = parent.select(F.col("label").alias("top"), F.col("up").alias("next"))
+        out = out.join(step, "top").select("label", F.col("next").alias("top"))
+    return out
+
+
 def _buckets(sketches: DataFrame) -> DataFrame:
     """band, member of the buckets with more than one member."""
     members = sketches.groupBy("digest").agg(F.first("bands").alias("bands"))
@@ -258,7 +282,8 @@ def _bags(rows: DataFrame, sketches: DataFrame, buckets: DataFrame) -> DataFrame
     )
     chosen = materialize(chosen)
     texts = rows.select("mark", "text").join(chosen, "mark", "left_semi")
-    schema = "member long, value array<int>, weight array<int>"
+    schema = "member long, value array<int>, weight array<int>, map array<long>, "
+    schema += "kinds long, total long, heavy long, most long"
     bags = materialize(map_texts(texts, _bag, schema))
     release(chosen)
     if bags.count() == bags.select("member").distinct().count():
@@ -268,58 +293,95 @@ def _bags(rows: DataFrame, sketches: DataFrame, buckets: DataFrame) -> DataFrame
     return once
 
 
-def _compare(state: DataFrame, done: DataFrame, compared: DataFrame, budget: int) -> tuple[DataFrame, DataFrame]:
-    """The pivots (band, member) and the pairs (member, pivot) of a round."""
-    mixed = (
-        state.groupBy("band")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low < high")
-        .select("band")
+def _open_rows(state: DataFrame, budget: int) -> DataFrame:
+    """The rows of the buckets that hold several classes, with this round's pivots marked.
+
+    A bucket is searched when all its members outside its first class have been pivots.
+    Of those that have not, the one with the largest label is one now, and others drawn
+    by a hash: about budget / size, and never fewer than the rounds so far allow.
+    """
+    label, member, fresh = F.col("label"), F.col("member"), ~F.col("done")
+    agg = state.groupBy("band").agg(
+        F.min(label).alias("low"), F.max(F.when(fresh, F.struct("label", "member"))).alias("last")
     )
-    open_rows = state.join(mixed, "band", "left_semi")
-    fresh = open_rows.join(done, ["band", "member"], "left_anti")
-    least = fresh.groupBy("band").agg(F.min("member").alias("least"))
-    # About budget / size of a bucket, by a hash of the member, and always the least.
-    drawn = F.pmod(F.xxhash64("member", F.lit(budget)), F.col("size")) < F.floor(F.lit(budget) / F.col("size"))
-    pivots = materialize(
-        fresh.join(least, "band")
-        .where(drawn | (F.col("member") == F.col("least")))
-        .select("band", "member", F.col("label").alias("pivot_label"))
+    still = agg.where("last.label > low").select("band", "low", F.col("last.member").alias("last"))
+    share = F.greatest(F.floor(F.lit(budget) / F.col("size")), F.lit(budget // PAIRS))
+    drawn = F.pmod(F.xxhash64("member", F.lit(budget)), F.col("size")) < share
+    pivot = fresh & ((drawn & (label != F.col("low"))) | (member == F.col("last")))
+    return materialize(
+        state.join(still, "band").select("band", "member", "size", "label", "done", pivot.alias("pivot"))
     )
-    pairs = (
-        open_rows.join(pivots.withColumnRenamed("member", "pivot"), "band")
-        .where("label <> pivot_label")
-        .select(F.least("member", "pivot").alias("member"), F.greatest("member", "pivot").alias("pivot"))
-        .distinct()
-        .join(compared, ["member", "pivot"], "left_anti")
+
+
+def _may_be_similar() -> Column:
+    """False only for a pair whose index is below the threshold.
+
+    With the bags' weights x and y, a common shingle i adds at most max(x_i, y_i) over the
+    sum of max(x_j, y_j) over all shingles, so the index is at most 1 less the share of that
+    sum that is on one side alone; for bags without repeats that is the index. With c of k1
+    and k2 shingles in common, at least k1 + k2 - 2c is on one side alone, and the sum is
+    both totals less what is in common: at least c, and the repeats of the shingles that
+    both repeat often if these are the same. That asks for a least c, and the bit maps of the shingles tell how large c can be:
+    a bit that only one map has is a shingle that only one bag has.
+    """
+    k1, k2 = F.col("kinds"), F.col("kinds2")
+    shared = F.when(F.col("heavy") == F.col("heavy2"), F.least("most", "most2")).otherwise(0)
+    most = (F.col("total") + F.col("total2") - shared) * (1 - THRESHOLD)
+    needed = (k1 + k2 - most) / (1 + THRESHOLD) - 1e-6
+    only = lambda a, b: reduce(
+        add, [F.bit_count(F.col(f"{a}{i}").bitwiseAND(F.bitwise_not(f"{b}{i}"))) for i in range(MAP_LONGS)]
+    )
+    return (k1 - only("m", "w") >= needed) & (k2 - only("w", "m") >= needed)
+
+
+def _pairs(rows: DataFrame, bags: DataFrame, compared: DataFrame | None) -> DataFrame:
+    """member, pivot: the pairs of a pivot and a member of another class, once each.
+
+    Rows carry bit maps of their shingles into the join, so that pairs that cannot pass
+    are not made.
+    """
+    each = [F.get("map", F.lit(i)).alias(f"m{i}") for i in range(MAP_LONGS)]
+    about = ("kinds", "total", "heavy", "most")
+    carried = rows.join(bags.select("member", *about, *each), "member")
+    pivots = carried.where("pivot").select(
+        F.col("band").alias("band2"),
+        F.col("member").alias("hub"),
+        F.col("label").alias("hub_label"),
+        *[F.col(f"m{i}").alias(f"w{i}") for i in range(MAP_LONGS)],
+        *[F.col(c).alias(f"{c}2") for c in about],
     )
-    return pivots.drop("pivot_label"), materialize(pairs)
+    across = (F.col("band") == F.col("band2")) & (F.col("label") != F.col("hub_label"))
+    both = carried.join(pivots, across & _may_be_similar())
+    pairs = both.groupBy(
+        F.least("member", "hub").alias("low"), F.greatest("member", "hub").alias("high")
+    ).agg(F.min("hub").alias("pivot"))
+    if compared is not None:
+        pairs = pairs.join(compared, ["low", "high"], "left_anti")
+    member = F.when(F.col("pivot") == F.col("low"), F.col("high")).otherwise(F.col("low"))
+    return materialize(pairs.select("low", "high", member.alias("member"), "pivot"))
 
 
 def _similar(pairs: DataFrame, bags: DataFrame) -> DataFrame:
-    """The pairs that pass the threshold."""
-    # The side with more partners is the one whose bag is read once per task.
-    uses = pairs.select(F.explode(F.array("member", "pivot")).alias("m")).groupBy("m").agg(F.count(F.lit(1)).alias("uses"))
-    ordered = (
-        pairs.join(uses.select(F.col("m").alias("member"), F.col("uses").alias("u1")), "member")
-        .join(uses.select(F.col("m").alias("pivot"), F.col("uses").alias("u2")), "pivot")
-        .select(
-            F.expr("if(u1 > u2, pivot, member)").alias("member"),
-            F.expr("if(u1 > u2, member, pivot)").alias("pivot"),
-            F.ceil(F.greatest("u1", "u2") / PER_TASK).alias("fan"),
-        )
-        .withColumn("salt", F.pmod(F.xxhash64("member"), F.col("fan")))
+    """The pairs (member, pivot) that pass the threshold."""
+    # Few pivots have more partners than a task should: their bags are copied.
+    uses = pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("uses"))
+    hot = materialize(uses.where(F.col("uses") > PER_TASK).select("pivot", F.ceil(F.col("uses") / PER_TASK).alias("fan")))
+    one = F.lit(1).cast("long")
+    salted = (
+        pairs.select("member", "pivot")
+        .join(hot, "pivot", "left")
+        .select("member", "pivot", F.pmod(F.xxhash64("member"), F.coalesce("fan", one)).alias("salt"))
     )
-    ordered = materialize(ordered)
-    fans = ordered.groupBy(F.col("pivot").alias("member")).agg(F.max("fan").alias("fan"))
     hubs = (
-        bags.join(fans, "member")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("fan") - 1)))
-        .select(F.col("member").alias("pivot"), "salt", F.col("value").alias("value2"), F.col("weight").alias("weight2"))
+        bags.select(F.col("member").alias("pivot"), F.col("value").alias("value2"), F.col("weight").alias("weight2"))
+        .join(pairs.select("pivot").distinct(), "pivot")
+        .join(hot, "pivot", "left")
+        .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("fan", one) - 1)))
+        .drop("fan")
     )
-    joined = ordered.drop("fan").join(bags, "member").join(hubs, ["pivot", "salt"])
-    found = materialize(joined.drop("salt").mapInArrow(_verify, "member long, pivot long"))
-    release(ordered)
+    joined = salted.join(bags, "member").join(hubs, ["pivot", "salt"])
+    found = materialize(bounded(joined.drop("salt")).mapInArrow(_verify, "member long, pivot long"))
+    release(hot)
     return found
 
 
@@ -330,23 +392,24 @@ def _classes(rows: DataFrame, sketches: DataFrame) -> DataFrame:
     if labels.isEmpty():
         return labels
     bags = _bags(rows, sketches, buckets)
-    none = buckets.sparkSession.createDataFrame([], "member long, pivot long")
-    done, compared, budget = buckets.select("band", "member").limit(0), none, PAIRS
+    state = buckets.withColumns({"label": F.col("member"), "done": F.lit(False)})
+    compared, budget = None, PAIRS
     while True:
-        state = materialize(buckets.join(labels, "member"))
-        pivots, pairs = _compare(state, done, compared, budget)
-        release(state)
-        if pivots.isEmpty():
+        rows_open = _open_rows(state, budget)
+        if rows_open.isEmpty():
             break
+        pairs = _pairs(rows_open, bags, compared)
         found = _similar(pairs, bags)
-        ends = [
-            labels.select(F.col("member").alias(side), F.col("label").alias(f"{side}_label"))
-            for side in ("member", "pivot")
-        ]
-        edges = found.join(ends[0], "member").join(ends[1], "pivot")
+        side = lambda x: labels.select(F.col("member").alias(x), F.col("label").alias(f"{x}_label"))  # noqa: B023, E731
+        edges = found.join(side("member"), "member").join(side("pivot"), "pivot")
         labels = components(labels, edges.select(F.col("member_label").alias("a"), F.col("pivot_label").alias("b")))
         release(found)
-        done, compared, budget = done.unionByName(pivots), compared.unionByName(pairs), budget * 2
+        past = pairs.select("low", "high")
+        compared = past if compared is None else compared.unionByName(past)
+        state = rows_open.select("band", "member", "size", (F.col("done") | F.col("pivot")).alias("done")).join(
+            labels, "member"
+        )
+        budget *= GROWTH
     release(buckets, bags)
     return labels
 

@@ -14,6 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from pulsetrail.session import ship_package
+
 # Spark sends rows of about this many bytes at once, and they are worked on in parts of
 # about this size: that bounds the memory of a task on both sides.
 BATCH_CHARS = 8_000_000
@@ -91,10 +93,11 @@ def per_slice(
 
 
 def bounded(df: DataFrame) -> DataFrame:
-    """``df``, with the session's Arrow batches held to the size worked on.
+    """``df``, in a session whose workers have this package and get bounded batches.
 
     The setting changes how many rows travel at once, never a result.
     """
+    ship_package(df.sparkSession)
     df.sparkSession.conf.set(_BATCH_SETTING, str(BATCH_CHARS))
     return df
 
