@@ -11,6 +11,7 @@ executors share, so losing executors costs nothing.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -76,3 +77,12 @@ def release(*copies: DataFrame) -> None:
         target = getattr(copy, "_pulsetrail_copy", None)
         if target:
             remove(copy.sparkSession, target)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the files of shuffles that no plan refers to any more.
+
+    It does so when the driver collects its garbage, which may be long after.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

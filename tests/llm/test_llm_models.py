@@ -301,6 +301,57 @@ def test_tree_of_independent_words_is_its_root(spark):
     assert model.root().sum() == pytest.approx(1)
 
 
+def plain_tree(training):
+    """Probability of a token after a context, by counting; None stands for both ends."""
+    streams = [["<", *WORD.findall(t.translate(LOWER)), None] for t in training]
+    grams = Counter(tuple(s[i : i + k]) for s in streams for k in range(1, 5) for i in range(len(s) - k + 1))
+    listed = defaultdict(dict)
+    for gram, n in grams.items():
+        if len(gram) > 1 and n >= suffix_tree.PAIR_COUNT and grams[gram[:-1]] >= suffix_tree.CONTEXT_COUNT:
+            listed[gram[:-1]][gram[-1]] = n
+    tokens = sum(len(s) - 1 for s in streams)
+    new = max(sum(n == 1 and len(g) == 1 and g[0] is not None for g, n in grams.items()), 1)
+    kept = {}
+
+    def chance(context, token):
+        if not context:
+            return grams.get((token,), new) / (tokens + new)
+        shorter = chance(context[1:], token)
+        if not kept.get(context):
+            return shorter
+        total, rest = grams[context], grams[context] - sum(listed[context].values())
+        weight = suffix_tree.STRENGTH + rest
+        return (listed[context].get(token, 0) + weight * shorter) / (total + suffix_tree.STRENGTH)
+
+    for context in sorted(listed, key=len):
+        total, n = grams[context], listed[context]
+        before = {t: chance(context[1:], t) for t in n}
+        rest = total - sum(n.values())
+        bits = sum(c * math.log2(c / total / before[t]) for t, c in n.items())
+        if rest:
+            bits += rest * math.log2(rest / total / max(1 - sum(before.values()), 1e-12))
+        named = len(n) * math.log2(len({g for g in grams if len(g) == 1} - {("<",)}))
+        kept[context] = bits > suffix_tree.DIVERGENCE_BITS * (len(n) + (rest > 0)) + named
+    return chance, kept
+
+
+@pytest.mark.parametrize("head", [5e-7, 2e-3])
+def test_tree_holds_every_context_of_the_fixed_count(spark, monkeypatch, head):
+    # Where a phrase goes to depends on the third token before; each context of three is seen
+    # 30 times among 90,000 tokens, which is less than 0.1 %.
+    monkeypatch.setattr(suffix_tree, "HEAD_SHARE", head)
+    phrase = " ".join(f"from{i} via over to{i}" for i in range(12))
+    rows = [(i, prose(i, 3000) + " " + phrase, None, None) for i in range(30)] + [(99, phrase + " " + prose(99, 50), None, None)]
+    chance, kept = plain_tree([r[1] for r in rows[:30]])
+    assert sum(len(c) == 3 for c, k in kept.items() if k) >= 12
+    docs = table(spark, rows)
+    got = {r.doc_id: r.score for r in suffix_tree.score_texts(docs, F.col("doc_id") == 99).collect()}
+    for i in (0, 99):
+        stream = ["<", *rows[i if i < 30 else -1][1].split(), None]
+        want = sum(math.log10(chance(tuple(stream[max(j - 3, 0) : j]), stream[j])) for j in range(1, len(stream)))
+        assert got[i] == pytest.approx(want)
+
+
 def test_suffix_tree_edges(spark):
     docs = edges(spark)
     rows = suffix_tree.score_texts(docs, F.col("doc_id") == 9).collect()
