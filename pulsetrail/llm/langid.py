@@ -13,9 +13,12 @@ score 1. A text is rejected when its cross-entropy is further above those of the
 texts of its language than ``MARGIN`` bits beyond their ``QUANTILE`` quantile, or when it has
 no letter.
 
-Grams with less than ``LEAST_SHARE`` of the grams of their language are left out of the
-model. So it has at most 1 / LEAST_SHARE rows per language, which bounds what the driver
-gathers and broadcasts, whatever the size of the corpus.
+Discounts, continuation counts and context totals are computed by Spark over all grams, also
+those seen once. Every symbol is in the model. Of each higher order, all grams are, up to
+``MODEL_GRAMS`` of all languages, which bounds what the driver gathers and broadcasts. Where
+there are more, those with the smallest counts (below a power of two) have no entry of their
+own, and their mass is added to the weight with which their context goes to the lower order,
+so that the probabilities still add up to 1.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; rows with a
 null language are not learned from; without any training row every text is ``und``, and
@@ -36,10 +39,10 @@ from pyspark.sql import functions as F
 
 from pulsetrail.llm.ngrams import Grams, distinct_rows, find, hash_columns
 from pulsetrail.llm.wordbatch import Words, map_texts, split_ascii, text_sums
-from pulsetrail.materialize import materialize
+from pulsetrail.materialize import materialize, release
 
 ORDER = 4
-LEAST_SHARE = 1e-6
+MODEL_GRAMS = 1 << 20
 CACHE_WORDS = 200_000
 BLOCK_WORDS = 20_000
 SYMBOLS = 1 << 16  # an unseen symbol is one of so many
@@ -179,8 +182,13 @@ def kneser_ney(columns: list[np.ndarray], counts: np.ndarray) -> list[tuple]:
 
 def build_model(rows: dict[str, tuple[list[np.ndarray], np.ndarray]]) -> Model:
     """One model from the gram columns and counts of each language."""
-    languages = sorted(rows)
-    orders = [kneser_ney(*rows[language]) for language in languages]
+    return join_orders({language: kneser_ney(*found) for language, found in rows.items()})
+
+
+def join_orders(by_language: dict[str, list[tuple]]) -> Model:
+    """One model from the orders of each language."""
+    languages = sorted(by_language)
+    orders = [by_language[language] for language in languages]
     model = Model(languages, [], [], [], [], np.array([o[0][3][0] / SYMBOLS for o in orders]))
     for k in range(ORDER):
         for hashes, tables, column, default in (
@@ -205,16 +213,79 @@ def train(docs: DataFrame) -> Model | None:
         .groupBy("lang", *_COLUMNS)
         .agg(F.sum("n").alias("n"))
     )
-    totals = counted.groupBy("lang").agg((F.sum("n") * LEAST_SHARE).alias("least"))
-    common = counted.join(totals, "lang").where("n >= least").drop("least").toPandas()
-    if not len(common):
+    languages = [r.lang for r in counted.select("lang").distinct().collect()]
+    if not languages:
         return None
-    return build_model(
-        {
-            language: ([part[c].to_numpy() for c in _COLUMNS], part["n"].to_numpy())
-            for language, part in common.groupby("lang")
-        }
+    by_language: dict[str, list[tuple]] = {language: [] for language in languages}
+    for order, grams in enumerate(_orders(counted), 1):
+        for language, part in _listed(grams, order, languages).items():
+            by_language[language].append(part)
+    release(counted)
+    return join_orders(by_language)
+
+
+def _orders(counted: DataFrame) -> list[DataFrame]:
+    """lang, symbols and count c of the grams of each order, as in ``kneser_ney``."""
+    found = [counted.where(F.col(_COLUMNS[0]) > 0).select("lang", *_COLUMNS, F.col("n").alias("c"))]
+    for k in range(ORDER - 1, 0, -1):
+        columns, front = _COLUMNS[ORDER - k :], _COLUMNS[ORDER - k - 1]
+        # One per different symbol in front, and what starts a word as it is.
+        uses = found[-1].select("lang", *columns, F.lit(1).cast("long").alias("c"))
+        if k > 1:
+            begun = counted.where((F.col(front) == 0) & (F.col(columns[0]) > 0))
+            uses = uses.unionByName(begun.select("lang", *columns, F.col("n").alias("c")))
+        found.append(materialize(uses.groupBy("lang", *columns).agg(F.sum("c").alias("c"))))
+    return found[::-1]
+
+
+def _listed(grams: DataFrame, order: int, languages: list[str]) -> dict[str, tuple]:
+    """What ``_order`` returns for each language, from all grams of an order."""
+    columns = _COLUMNS[ORDER - order :]
+    context = columns[:-1]
+    sizes = grams.groupBy("lang").agg(F.count_if(F.col("c") == 1).alias("ones"), F.count_if(F.col("c") == 2).alias("twos"))
+    discount = dict.fromkeys(languages, 0.5)
+    for r in sizes.collect():
+        if r.ones + r.twos:
+            discount[r.lang] = min(max(r.ones / (r.ones + 2 * r.twos), 0.1), 0.9)
+    least = _least(grams) if order > 1 else 1
+    own = F.when(F.col("c") >= least, 0).otherwise(F.col("c"))
+    contexts = grams.groupBy("lang", *context).agg(
+        F.sum("c").alias("total"),
+        F.count(F.lit(1)).alias("kinds"),
+        F.sum(own).alias("left_out"),
+        F.count_if(F.col("c") < least).alias("left_kinds"),
     )
+    # Without a listed gram all mass goes to the lower order, as for an unseen context.
+    contexts = materialize(contexts.where("kinds > left_kinds"))
+    same = F.lit(True)
+    for c in ["lang", *context]:
+        same = same & (F.col(f"g.{c}") == F.col(f"t.{c}"))
+    listed = grams.where(F.col("c") >= least).alias("g").join(contexts.alias("t"), same).select("g.*", "t.total")
+    listed, contexts = listed.toArrow(), contexts.toArrow()
+    out = {}
+    for language in languages:
+        g, t = (table.filter(pc.equal(table["lang"], language)) for table in (listed, contexts))
+        symbols = [g[c].to_numpy() for c in columns]
+        before = [t[c].to_numpy() for c in context]
+        total, d = t["total"].to_numpy(), discount[language]
+        keys = hash_columns(before) if before else np.zeros(len(total), np.uint64)
+        left = t["left_out"].to_numpy() - d * t["left_kinds"].to_numpy()
+        weight = (d * t["kinds"].to_numpy() + left) / total
+        share = (g["c"].to_numpy() - d) / g["total"].to_numpy()
+        out[language] = (hash_columns(symbols), share, keys, weight)
+    return out
+
+
+def _least(grams: DataFrame) -> int:
+    """The smallest count, 1 or another power of two, with at most MODEL_GRAMS grams."""
+    sizes = grams.groupBy(F.floor(F.log2("c")).alias("power")).count().collect()
+    room, least = MODEL_GRAMS, 1 << (max((r.power for r in sizes), default=0) + 1)
+    for r in sorted(sizes, reverse=True):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = 1 << r.power
+    return 1 if room >= 0 else least
 
 
 def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:

@@ -108,6 +108,37 @@ def test_kneser_ney_sums_to_one():
         assert total == pytest.approx(1, abs=2e-4)
 
 
+def letter_words(seed, n, size):
+    rng = np.random.default_rng(seed)
+    pool = ["".join(rng.choice(list("abcdefghij"), rng.integers(1, 8))) for _ in range(size)]
+    return [pool[int(i)] for i in rng.integers(size, size=n)]
+
+
+def test_trained_model_counts_what_is_rare(spark):
+    # 1.6 million grams, so that one use is less than a millionth of them.
+    text, rare = " ".join(letter_words(1, 10_000, 500)), "ñandú zyxwv abzzé"
+    docs = table(spark, [(i, text, "xx", None) for i in range(36)] + [(99, rare, "xx", None), (100, "a bc", "yy", None)])
+    model = langid.train(docs)
+    for number, words in enumerate([Counter({w: 36 * n for w, n in Counter(text.split()).items()}) + Counter(rare.split()), Counter(["a", "bc"])]):
+        plain = PlainKneserNey(words, langid.ORDER)
+        for word in ["ñandú", "zyxwv", "abzz", "dúa", "q", *text.split()[:20]]:
+            assert model.bits(Grams([word]))[:, number] == pytest.approx(plain.bits(word)), word
+
+
+def test_shortened_model_sums_to_one(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MODEL_GRAMS", 150)
+    words = Counter(letter_words(2, 3000, 300) + ["é"])
+    text = " ".join(words.elements())
+    model = langid.train(table(spark, [(1, text, "xx", None)]))
+    assert 0 < len(model.grams[3]) <= 150 and len(model.grams[0]) == 12
+    letters = sorted({c for w in words for c in w})
+    for start in ["", "a", "ab", "é", next(iter(words))[:3]]:
+        total = sum(2.0 ** -model.bits(Grams([start + c]))[len(start), 0] for c in letters)
+        total += 2.0 ** -model.bits(Grams([start]))[-1, 0]
+        total += (langid.SYMBOLS - len(letters) - 1) * 2.0 ** -model.bits(Grams([start + "λ"]))[len(start), 0]
+        assert total == pytest.approx(1, abs=2e-4)
+
+
 def test_held_out_languages(spark):
     docs = documents(spark)
     found = langid.identify(docs, fold(4) == 2).where("held_out").join(docs, "doc_id")
