@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsetrail.llm.centroids import cluster_vectors
+from pulsetrail.llm.decontaminate import contamination
 from pulsetrail.llm.exact_dedup import exact_duplicates
 from pulsetrail.llm.fingerprint import compare_edited
 from pulsetrail.llm.langid import identify
+from pulsetrail.llm.lexical_search import rank_documents
 from pulsetrail.llm.mixing import plan_mix
 from pulsetrail.llm.orc_tokens import token_index, write_token_ids
 from pulsetrail.llm.probminhash import near_duplicates
@@ -84,6 +87,28 @@ def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return digests(encode(_documents(spark, sf), model), model)
 
 
+def op11_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    found = cluster_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.withColumn("centroid_sha256", digest).drop("centroid")
+
+
+def op12_winnowing(spark: SparkSession, sf: str) -> DataFrame:
+    found = contamination(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op13_nra_search(spark: SparkSession, sf: str) -> DataFrame:
+    return rank_documents(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_exact_dedup": op2_exact_dedup,
@@ -95,4 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_suffix_tree": op9_suffix_tree,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_centroids": op11_centroids,
+    "op12_winnowing": op12_winnowing,
+    "op13_nra_search": op13_nra_search,
 }
