@@ -11,11 +11,12 @@ fingerprints of the items. Hits are extended: the windows of the stretch are com
 by word with the windows of the items, and the words under equal ones are hit. Shorter
 windows are winnowed in the same way with shorter runs.
 
-All work is SQL functions. Texts are not shuffled to find hits. Only documents with a
-fingerprint in common with an item are read again, and moved only where their hits are too
-many for the planner to broadcast. Sides of a join are written first, so that the planner
-knows their size; nothing is broadcast by a hint. Items that share a window are counted
-out through sets of items, so that a passage of many items adds one row per window.
+All work is SQL functions. Texts are read once and never shuffled. A bit map of the items'
+fingerprints, of bounded size, turns down most stretches where the text is read; what is left
+takes the words of its stretch along to the join on fingerprints, which settles the rest.
+Sides of a join are written first, so that the planner knows their size; nothing is broadcast
+by a hint. Items that share a window are counted out through sets of items, so that a passage
+of many items adds one row per window.
 
 Defined cases: a null text has no words, and a text without words is not contaminated;
 rows of documents that repeat are answered each; items that repeat an id are one item with
@@ -33,9 +34,10 @@ from pyspark.sql import functions as F
 from pulsetrail.materialize import materialize, release
 
 WINDOW_WORDS = 10
-# Characters between words, once A-Z are lower-cased; and words as they stand in the text.
+# Characters between words, once A-Z are lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Largest bit map of the items' fingerprints: 2 MB.
+MAP_BITS = 1 << 24
 
 
 def words(text: Column) -> Column:
@@ -83,19 +85,39 @@ def _with_stretches(rows: DataFrame, length: int, column: str) -> DataFrame:
     return rows.withColumn(column, F.transform("_starts", stretch)).drop("_least", "_starts")
 
 
-def fingerprints(rows: DataFrame, keep: list[str], lengths: list[int]) -> DataFrame:
-    """Stretches of equal fingerprints of every text, for windows of each length.
-
-    ``rows`` has the text as ``_words``; ``keep`` names the columns that stay.
-    """
+def with_fingerprints(rows: DataFrame, lengths: list[int], column: str = "_every") -> DataFrame:
+    """Add the stretches of the text in ``_words``, for windows of each length."""
     columns = []
     for length in lengths:
         columns.append(f"_of{length}")
         rows = _with_stretches(rows, length, columns[-1])
     every = F.concat(*columns) if len(columns) > 1 else F.col(columns[0])
+    return rows.withColumn(column, every).drop(*columns)
+
+
+def fingerprints(rows: DataFrame, keep: list[str], lengths: list[int]) -> DataFrame:
+    """Stretches of every text as rows; ``keep`` names the columns that stay."""
     # Outer: for an inner one the optimizer puts a filter with a copy of the whole
     # expression under every step, where lambdas evaluate it once per element.
-    return rows.withColumn("_every", every).select(*keep, F.inline_outer("_every"))
+    return with_fingerprints(rows, lengths).select(*keep, F.inline_outer("_every"))
+
+
+def _bit_map(prints: DataFrame) -> tuple[DataFrame, int]:
+    """One row with the bits of all prints in an array of longs, and the number of its bits.
+
+    Some thirty bits a print, but never more than MAP_BITS.
+    """
+    size = 64
+    while size < min(32 * prints.count(), MAP_BITS):
+        size *= 2
+    place = F.pmod("print", F.lit(size))
+    bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
+    found = prints.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("at")).agg(
+        F.bit_or(bit).alias("bits")
+    )
+    every = prints.sparkSession.range(size // 64).select(F.col("id").alias("at")).join(found, "at", "left")
+    listed = F.sort_array(F.collect_list(F.struct("at", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    return materialize(every.agg(F.transform(listed, lambda word: word["bits"]).alias("map"))), size
 
 
 def _window_text(first: Column, length: Column) -> Column:
@@ -148,18 +170,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window_words: int = WIN
     """
     windows, members = item_windows(benchmark, window_words)
     lengths = sorted(row["length"] for row in windows.select("length").distinct().collect())
-    key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text"))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("_key", key)
-    counted = rows.select("doc_id", "_key", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"))
-    hits = _hits(rows, windows, lengths, members) if lengths else None
-    if hits is None:
+    key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))))
+    split = docs.select("doc_id", key.alias("_key"), words(F.col("text")).alias("_words"))
+    n_words = F.size("_words").cast("long").alias("n_words")
+    if not lengths:
         spans = "cast(array() as array<struct<first: int, last: int>>)"
-        return counted.select(
-            "doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.expr(spans).alias("spans"),
+        return split.select(
+            "doc_id", n_words, F.lit(0).cast("long").alias("n_hit"), F.expr(spans).alias("spans"),
             F.array().cast("array<string>").alias("items"),
         )
-    joined = counted.join(hits, "_key", "left")
-    return joined.select(
+    prints = _item_prints(windows, lengths)
+    read = materialize(_candidates(split, prints, lengths).select("doc_id", "_key", n_words, "_candidates"))
+    hits = _hits(read, prints, windows, members)
+    return read.join(hits, "_key", "left").select(
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
@@ -168,43 +191,55 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window_words: int = WIN
     )
 
 
-def _hits(rows: DataFrame, windows: DataFrame, lengths: list[int], members: DataFrame) -> DataFrame:
-    """Per document with a hit: _key, n_hit, spans, items."""
-    split = rows.select("_key", words(F.col("text")).alias("_words"))
+def _item_prints(windows: DataFrame, lengths: list[int]) -> DataFrame:
+    """Distinct (length, print) of all windows of the items."""
     as_words = windows.select(F.col("length").alias("_own"), F.split("window", " ").alias("_words"))
-    item_prints = materialize(
-        fingerprints(as_words, ["_own"], lengths).where("length = _own").select("length", "print").distinct()
+    prints = fingerprints(as_words, ["_own"], lengths).where("length = _own")
+    return materialize(prints.select("length", "print").distinct())
+
+
+def _candidates(split: DataFrame, prints: DataFrame, lengths: list[int]) -> DataFrame:
+    """Add ``_candidates``: the stretches whose print is in the bit map, with their words."""
+    bits, size = _bit_map(prints)
+    with_map = with_fingerprints(split, lengths).withColumn("_map", bits.scalar())
+
+    def known(s: Column) -> Column:
+        place = F.pmod(s["print"], F.lit(size))
+        word = F.get("_map", F.shiftright(place, 6).cast("int"))
+        return F.getbit(word, (place % 64).cast("int")) == 1
+
+    stretch = lambda s: F.struct(
+        s["length"].alias("length"),
+        s["print"].alias("print"),
+        s["first"].alias("first"),
+        _window_text(s["first"], s["until"] - s["first"] + s["length"] - 1).alias("text"),
     )
-    shared = materialize(
-        fingerprints(split, ["_key"], lengths)
-        .join(item_prints, ["length", "print"], "left_semi")
-        .groupBy("_key", "length", "first", "until")
-        .agg(F.lit(1))
-        .groupBy("_key")
-        .agg(F.collect_list(F.struct("length", "first", "until")).alias("_stretches"))
-    )
-    # Extend: every window of a stretch that starts in it, as text.
-    candidates = F.flatten(
-        F.transform(
-            "_stretches",
-            lambda s: F.transform(
-                F.sequence(s["first"], s["until"] - 1),
-                lambda at: F.struct(
-                    at.alias("first"), s["length"].alias("length"), _window_text(at, s["length"]).alias("window")
-                ),
-            ),
-        )
+    return with_map.withColumn("_candidates", F.transform(F.filter("_every", known), stretch))
+
+
+def _hits(read: DataFrame, prints: DataFrame, windows: DataFrame, members: DataFrame) -> DataFrame:
+    """Per document with a hit: _key, n_hit, spans, items."""
+    shared = (
+        read.where(F.size("_candidates") > 0)
+        .select("_key", F.inline("_candidates"))
+        .join(prints, ["length", "print"], "left_semi")
+        .select("_key", "length", "first", F.split("text", " ").alias("_words"))
+    )
+    # Extend: every window that starts in the stretch, as text.
+    starts = F.sequence(F.lit(0), F.size("_words") - F.col("length"))
+    each = F.transform(
+        starts,
+        lambda at: F.struct((F.col("first") + at).alias("at"), _window_text(at, F.col("length")).alias("window")),
     )
     found = materialize(
-        split.join(shared, "_key")
-        .withColumn("_candidates", candidates)
-        .select("_key", F.inline_outer("_candidates"))
+        shared.select("_key", "length", F.explode(each).alias("w"))
+        .select("_key", "length", F.col("w.at").alias("first"), "w.window")
         .join(windows, ["length", "window"])
         .groupBy("_key", "first", "length", "set")
         .agg(F.lit(1))
         .select("_key", "first", "length", "set")
     )
-    release(shared, item_prints)
+    release(prints)
     # Windows that overlap or touch are one run of hit words.
     starts = found.groupBy("_key", "first").agg(F.max(F.col("first") + F.col("length") - 1).alias("last"))
     earlier = Window.partitionBy("_key").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
