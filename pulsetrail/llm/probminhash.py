@@ -21,8 +21,9 @@ member outside the first class has been one. No bucket is capped and no pair tha
 join two classes is left out.
 
 Hot keys: rows of buckets and classes are a few numbers each. Pairs that cannot pass are turned
-down inside the join, by an exact bound on small maps of the shingles, so that the rows made
-follow the links and not the square of the bucket. The one join that carries shingles by
+down inside the join, by an exact bound on small maps of the shingles, and one that meets in
+several bands is made in the least of them, so that the rows made follow the links and not
+the square of the bucket. The one join that carries shingles by
 pivot splits a pivot's members over tasks of ``PER_TASK``.
 
 Defined cases: a null text is the empty text; a text of fewer than five words is one
@@ -53,6 +54,8 @@ REGISTERS = BANDS * ROWS
 PAIRS = 64
 GROWTH = 8
 PER_TASK = 2_000
+# Text that is worked on at a time: its shingles take some fifty times as much memory.
+PART_CHARS = 2_000_000
 MAP_LONGS = 32  # 2,048 bits: beyond about as many shingles the maps tell little
 OFTEN = 4
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -284,7 +287,7 @@ def _bags(rows: DataFrame, sketches: DataFrame, buckets: DataFrame) -> DataFrame
     texts = rows.select("mark", "text").join(chosen, "mark", "left_semi")
     schema = "member long, value array<int>, weight array<int>, map array<long>, "
     schema += "kinds long, total long, heavy long, most long"
-    bags = materialize(map_texts(texts, _bag, schema))
+    bags = materialize(map_texts(texts, _bag, schema, PART_CHARS))
     release(chosen)
     if bags.count() == bags.select("member").distinct().count():
         return bags
@@ -342,16 +345,23 @@ def _pairs(rows: DataFrame, bags: DataFrame, compared: DataFrame | None) -> Data
     """
     each = [F.get("map", F.lit(i)).alias(f"m{i}") for i in range(MAP_LONGS)]
     about = ("kinds", "total", "heavy", "most")
-    carried = rows.join(bags.select("member", *about, *each), "member")
-    pivots = carried.where("pivot").select(
+    # A pair meets in every band it shares: it is made in the least of those where one of
+    # the two is a pivot.
+    listed = F.collect_list("band")
+    bands = rows.groupBy("member").agg(listed.alias("bands"))
+    led = rows.where("pivot").groupBy("member").agg(listed.alias("led"))
+    carried = rows.join(bags.select("member", *about, *each), "member").join(bands, "member")
+    pivots = carried.where("pivot").join(led, "member").select(
         F.col("band").alias("band2"),
         F.col("member").alias("hub"),
         F.col("label").alias("hub_label"),
         *[F.col(f"m{i}").alias(f"w{i}") for i in range(MAP_LONGS)],
         *[F.col(c).alias(f"{c}2") for c in about],
+        "led",
     )
     across = (F.col("band") == F.col("band2")) & (F.col("label") != F.col("hub_label"))
-    both = carried.join(pivots, across & _may_be_similar())
+    least = F.col("band") == F.array_min(F.array_intersect("bands", "led"))
+    both = carried.join(pivots, across & _may_be_similar() & least)
     pairs = both.groupBy(
         F.least("member", "hub").alias("low"), F.greatest("member", "hub").alias("high")
     ).agg(F.min("hub").alias("pivot"))
@@ -426,7 +436,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id"), text).alias("mark"), text.alias("text")
     )
     sketches = materialize(
-        map_texts(rows, _sketch, "doc_id long, mark long, digest long, bands array<long>")
+        map_texts(rows, _sketch, "doc_id long, mark long, digest long, bands array<long>", PART_CHARS)
     )
     labels = _classes(rows, sketches).withColumnRenamed("member", "digest")
     named = sketches.select("doc_id", "mark", "digest").join(labels, "digest", "left")

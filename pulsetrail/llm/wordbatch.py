@@ -6,6 +6,7 @@ the texts by array operations. Memory is that of one batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -66,10 +67,23 @@ def text_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return total[starts[1:]] - total[starts[:-1]]
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch with about BATCH_CHARS bytes of text each."""
+def give_back() -> None:
+    """Return what Arrow and numpy have freed to the system.
+
+    Workers stay for later stages, and would hold the memory of their largest part.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def slices(
+    batch: pa.RecordBatch, column: str = "text", part_chars: int = BATCH_CHARS
+) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch with about ``part_chars`` bytes of text each."""
     size = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
-    group = np.cumsum(size) // BATCH_CHARS
+    group = np.cumsum(size) // part_chars
     cuts = np.flatnonzero(np.diff(group)) + 1
     edges = [0, *cuts.tolist(), len(size)]
     for low, high in zip(edges, edges[1:]):
@@ -78,16 +92,21 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
 
 
 def per_slice(
-    work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: str = "text"
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    column: str = "text",
+    part_chars: int = BATCH_CHARS,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A mapInArrow function that runs ``work`` on every part of every batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, column):
+            part = out = None
+            for part in slices(batch, column, part_chars):
                 out = work(part)
                 if out is not None:
                     yield out
+            del batch, part, out
+            give_back()
 
     return run
 
@@ -102,9 +121,14 @@ def bounded(df: DataFrame) -> DataFrame:
     return df
 
 
-def map_texts(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_texts(
+    df: DataFrame,
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    schema: str,
+    part_chars: int = BATCH_CHARS,
+) -> DataFrame:
     """``df`` through ``work``, in parts of bounded size."""
-    return bounded(df).mapInArrow(per_slice(work), schema)
+    return bounded(df).mapInArrow(per_slice(work, part_chars=part_chars), schema)
 
 
 def ragged_take(values: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> np.ndarray:
