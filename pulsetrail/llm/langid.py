@@ -328,7 +328,18 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     schema = ", ".join(
         [*[f"`{c}` {types[c]}" for c in keep], "lang_pred string, score double, entropy double, symbols long"]
     )
-    return map_texts(docs.select(*kept, "text"), work, schema)
+    found = map_texts(docs.select(*kept, "text"), work, schema)
+    found._pulsetrail_model = shared
+    return found
+
+
+def _written(predicted: DataFrame) -> DataFrame:
+    """Predictions as a table; executors need not hold the model any longer."""
+    copy = materialize(predicted)
+    shared = getattr(predicted, "_pulsetrail_model", None)
+    if shared is not None:
+        shared.destroy()
+    return copy
 
 
 def with_rejection(predicted: DataFrame, lang: str, learned: str) -> DataFrame:
@@ -364,7 +375,7 @@ def identify(docs: DataFrame, held_out: Column) -> DataFrame:
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
     model = train(rows.where("not held_out"))
-    predicted = materialize(predict(rows, model, ["doc_id", "mark", "lang", "held_out"]))
+    predicted = _written(predict(rows, model, ["doc_id", "mark", "lang", "held_out"]))
     judged = with_rejection(predicted.withColumn("learned", ~F.col("held_out")), "lang", "learned")
     return judged.select("doc_id", "mark", "held_out", "lang_pred", "score", "entropy", "rejected")
 
