@@ -92,21 +92,19 @@ def merge(sketches: DataFrame, keys: list[str], sketch: str = "sketch", fraction
 def _neighbours(rows: DataFrame) -> tuple[DataFrame, bool]:
     """Per document: key and id, the key of the document before it, and that one's cut.
 
-    Only ids, keys and lengths are ordered. The second value tells whether rows repeat.
+    Only ids, keys and lengths are ordered. Rows that repeat an id and a text are one
+    document here, with their number as ``_copies``; the second value tells whether any do.
     """
-    keyed = materialize(rows.select("doc_id", "_key", F.length("text").alias("_n")))
-    ranked = materialize(
-        global_rank(keyed.distinct(), [F.col("doc_id").desc_nulls_last(), F.col("_key")])
-    )
-    total = ranked.count()
-    repeated = keyed.count() != total
-    release(keyed)
+    keyed = rows.groupBy("doc_id", "_key", F.length("text").alias("_n")).agg(F.count(F.lit(1)).alias("_copies"))
+    ranked = materialize(global_rank(keyed, [F.col("doc_id").desc_nulls_last(), F.col("_key")]))
+    total, most = ranked.agg(F.count(F.lit(1)), F.max("_copies")).first()
+    repeated = (most or 0) > 1
     reader = ranked.select(
         F.when(F.col(RANK) == total, F.lit(1)).otherwise(F.col(RANK) + 1).cast("long").alias(RANK),
         F.col("_key").alias("_to"),
         F.floor(F.col("_n") / 3).cast("int").alias("_cut"),
     )
-    pairs = materialize(ranked.select("_key", "doc_id", RANK).join(reader, RANK).drop(RANK))
+    pairs = materialize(ranked.select("_key", "doc_id", "_copies", RANK).join(reader, RANK).drop(RANK))
     release(ranked)
     return pairs, repeated
 
@@ -118,7 +116,8 @@ def compare_edited(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
     the next document in descending order of id; the next of the last is the first.
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next (resemblance) and containment_edited. Rows that repeat an id
-    and a text are one document.
+    and a text stand next to each other: all but the last of them are followed by their own
+    text.
 
     Texts are shuffled once, by a key of their own: every document sends its opening and
     its sketch to the one document that reads them, where the same shuffle has put it.
@@ -139,10 +138,21 @@ def compare_edited(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
         openings = openings.dropDuplicates(["_key"])
         placed = placed.dropDuplicates(["_key"])
     n = F.length("text")
+    followed = placed.select("_key", "doc_id", "text").join(openings, "_key")
+    if repeated:
+        twins = with_sketch(placed.where("_copies > 1"), "text", "next_sketch", fraction)
+        followed = followed.unionByName(
+            twins.select(
+                "_key",
+                "doc_id",
+                "text",
+                F.substring(F.col("text"), F.lit(1), F.floor(n / 3).cast("int")).alias("_opening"),
+                "next_sketch",
+                F.explode(F.sequence(F.lit(2).cast("long"), "_copies")).alias("_copy"),
+            ).drop("_copy")
+        )
     joined = (
-        placed.select("_key", "doc_id", "text")
-        .join(openings, "_key")
-        .withColumn("n_chars", n.cast("long"))
+        followed.withColumn("n_chars", n.cast("long"))
         .withColumn(
             "edited",
             F.concat(
