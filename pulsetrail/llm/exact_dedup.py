@@ -6,9 +6,9 @@ whose whole text has the same SHA-256. Every step moves narrow rows (ids, length
 hashes); a text is never shuffled to be compared. Counting per key combines on the map
 side, so a group with a third of all rows adds one row per task.
 
-Defined cases: a null text is the empty text; rows without an id are never merged;
-rows that repeat an id and a text are copies of each other, count in ``group_size`` and
-share ``keep_id``; an empty table gives an empty result; columns other than ``doc_id``
+Defined cases: a null text is the empty text; rows without an id are never merged, nor
+counted as copies; rows that repeat an id and a text are copies of each other, count in
+``group_size`` and share ``keep_id``, and one of them stays; an empty table gives an empty result; columns other than ``doc_id``
 and ``text`` are not read. Texts are compared as they are.
 """
 
@@ -72,13 +72,29 @@ def exact_duplicates(
         .where("group_size > 1")
     )
     one = F.lit(1).cast("long")
+    merged = F.col("doc_id").isNotNull() & F.col("keep_id").isNotNull()
     compared = hashed.join(groups, "text_sha256", "left").select(
         "doc_id",
-        F.coalesce("keep_id", "doc_id").alias("keep_id"),
-        F.coalesce("group_size", one).alias("group_size"),
-        F.expr("keep_id is null or keep_id <=> doc_id").alias("kept"),
+        F.when(merged, F.col("keep_id")).otherwise(F.col("doc_id")).alias("keep_id"),
+        F.when(merged, F.col("group_size")).otherwise(one).alias("group_size"),
+        F.when(merged, F.col("keep_id") == F.col("doc_id")).otherwise(F.lit(True)).alias("kept"),
         "text_sha256",
     )
+    # Rows that repeat the id and the text of a row that stays: one of them does.
+    twins = materialize(
+        survivors.join(groups.select("text_sha256", F.col("keep_id").alias("doc_id")), ["doc_id", "text_sha256"])
+        .groupBy("doc_id", "text_sha256")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where("rows > 1")
+    )
+    if not twins.isEmpty():
+        again = twins.join(groups, "text_sha256").select(
+            "doc_id", "keep_id", "group_size", F.explode(F.sequence(one, "rows")).alias("copy"), "text_sha256"
+        )
+        names = compared.columns
+        compared = compared.join(twins, ["doc_id", "text_sha256"], "left_anti").select(*names).unionByName(
+            again.withColumn("kept", F.col("copy") == 1).select(*names)
+        )
     if digest_all:
         return compared
     alone = rows.select("doc_id").join(found, "doc_id", "left_anti")
@@ -100,19 +116,21 @@ def drop_copies(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     have to be moved to the join that tells which rows survive, which costs more.
     """
     found = materialize(exact_duplicates(docs, prefix_chars, digest_all=True).where("group_size > 1"))
-    dropped = found.where("not kept")
+    pairs = materialize(
+        found.groupBy("doc_id", "text_sha256").agg(F.bool_or("kept").alias("stays"), F.count(F.lit(1)).alias("rows"))
+    )
+    dropped = pairs.where("not stays")
     ids = materialize(dropped.select("doc_id").distinct())
     # If no row that stays has the id of one that goes, ids alone tell them apart: the
     # list is narrow, and no text is hashed or moved where it is small enough to broadcast.
-    if docs.select("doc_id").join(ids, "doc_id", "left_semi").count() == dropped.count():
+    gone_rows = dropped.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    if docs.select("doc_id").join(ids, "doc_id", "left_semi").count() == gone_rows:
         rest = docs.join(ids, "doc_id", "left_anti")
     else:
-        gone = dropped.select("doc_id", "text_sha256").distinct()
+        gone = dropped.select("doc_id", "text_sha256")
         same = "d.doc_id = g.doc_id and sha2(coalesce(d.text, ''), 256) = g.text_sha256"
         rest = docs.alias("d").join(gone.alias("g"), F.expr(same), "left_anti")
-    repeated = materialize(
-        found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    )
+    repeated = materialize(pairs.where("stays and rows > 1").select("doc_id").distinct())
     if repeated.isEmpty():
         return rest
     # Rows that repeat an id and a text: the only ones that must be compared as rows.
