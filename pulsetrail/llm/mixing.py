@@ -73,7 +73,9 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASS
 
 
 def _hash(seed: int) -> Column:
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    # The text as well: rows without an id, or with one id, would share one place.
+    own = F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit(""))))
+    digest = F.md5(own)
     return F.conv(F.substring(digest, 1, _HASH_DIGITS), 16, 10).cast("long")
 
 

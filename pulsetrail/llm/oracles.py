@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pulsetrail.llm.mixing import MAX_PASSES, SEED, WEIGHTS
+# The mix: weights of the sources in turn, the most passes over one, the seed of its order.
+WEIGHTS, MAX_PASSES, SEED = (1, 2, 3), 3, 17
 
 OP2 = """
 WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS h FROM documents),
@@ -15,7 +16,7 @@ OP3 = rf"""
 WITH d AS (
   SELECT doc_id, source IS NULL AS no_source, coalesce(source, '') AS src,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-    substr(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS place
+    substr(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 13) AS place
   FROM documents),
 g AS (SELECT no_source, src, sum(size)::BIGINT AS source_size FROM d GROUP BY ALL),
 s AS (
