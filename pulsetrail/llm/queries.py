@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ from pulsetrail.llm.suffix_tree import score_texts
 from pulsetrail.materialize import scratch_path
 
 # Vocabulary files are read where they are installed.
-TOKENIZERS = "/opt/tokenizers"
+TOKENIZERS = os.path.dirname(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,7 +61,7 @@ def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     scored = score_quality(_documents(spark, sf), labels)
     return scored.select(
         "doc_id",
-        (fold(3) == 1).alias("held_out"),
+        F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
