@@ -38,8 +38,9 @@ def test_exact_groups(spark, digest_all):
             groups[text or ""].append(doc_id)
     want = Counter()
     for text, ids in groups.items():
-        for i in ids:
-            want[(i, max(ids), len(ids), i == max(ids), sha(text) if digest_all or len(ids) > 1 else None)] += 1
+        for at, i in enumerate(ids):
+            stays = i == max(ids) and i not in ids[:at]  # of equal rows one
+            want[(i, max(ids), len(ids), stays, sha(text) if digest_all or len(ids) > 1 else None)] += 1
     got = Counter(tuple(r) for r in found if r.doc_id is not None)
     # A row that no other is like can have its digest, too: ids are compared by text.
     strip = lambda c: Counter({k[:4] for k in c})
@@ -50,6 +51,27 @@ def test_exact_groups(spark, digest_all):
     assert (anonymous.keep_id, anonymous.group_size, anonymous.kept) == (None, 1, True)
 
 
+NO_IDS = [
+    (1, "same text"), (2, "same text"), (2, "same text"), (None, "same text"), (None, "same text"),
+    (2, "another text"), (3, "another text"), (3, "a third"), (4, None), (None, None), (None, ""),
+]
+
+
+@pytest.mark.parametrize("digest_all", [True, False])
+def test_rows_without_an_id_are_never_merged(spark, digest_all):
+    docs = table(spark, [(i, t, None, None) for i, t in NO_IDS]).repartition(4)
+    found = exact_duplicates(docs, digest_all=digest_all).select("doc_id", "keep_id", "group_size", "kept")
+    got = Counter(tuple(r) for r in found.collect())
+    assert got == Counter(
+        [
+            (1, 2, 3, False), (2, 2, 3, True), (2, 2, 3, False), (2, 3, 2, False), (3, 3, 2, True),
+            (3, 3, 1, True), (4, 4, 1, True), *[(None, None, 1, True)] * 4,
+        ]
+    )
+    kept = Counter((r.doc_id, r.text) for r in drop_copies(docs).collect())
+    assert kept == Counter([(2, "same text"), (3, "another text"), (3, "a third"), (4, None)] + NO_IDS[3:5] + NO_IDS[9:])
+
+
 def test_drop_copies_keeps_each_text_once(spark):
     kept = drop_copies(edges(spark))
     assert kept.columns == edges(spark).columns
@@ -62,6 +84,16 @@ def test_drop_copies_keeps_each_text_once(spark):
     assert got == Counter(want.values())
 
 
+def test_a_ledger_with_repeated_entries_changes_nothing(spark):
+    docs = edges(spark)
+    ledger = scratch_path(spark, "twice")
+    once = rows_of(secret_scan.find_secrets(docs, ledger), "doc_id", "spans", "base_sha256")
+    secret_scan.read_ledger(spark, ledger).write.mode("append").parquet(f"{ledger}-copy")
+    spark.read.parquet(f"{ledger}-copy").write.mode("append").parquet(ledger)
+    assert rows_of(secret_scan.find_secrets(docs, ledger), "doc_id", "spans", "base_sha256") == once
+    assert len(once) == len(EDGES)
+
+
 def test_exact_empty(spark):
     assert exact_duplicates(empty(spark)).count() == 0
     assert drop_copies(empty(spark)).count() == 0
@@ -259,9 +291,23 @@ def test_merged_sketch_is_that_of_the_union(spark):
         assert merged[g] == sorted({h for h in hashes if h < limit} | {min(hashes)})
 
 
+def test_every_row_has_a_fingerprint(spark):
+    rows = [(3, "three four five six seven"), (2, "abcdefghi"), (2, "abcdefghi"), (2, "abcdefghi"), (1, "xyzuvw")]
+    docs = table(spark, [(i, t, None, None) for i, t in rows] + [(None, "no id", None, None)] * 2)
+    found = Counter((r.doc_id, r.edited_sha256) for r in fingerprint.compare_edited(docs).collect())
+    assert found == Counter(
+        [
+            (3, sha("three four five s" + "abcdefgh")), (2, sha("abcdefabc")), (2, sha("abcdefabc")),
+            (2, sha("abcdefxyz")), (1, sha("xyzu" + "no")), (None, sha("no in")), (None, sha("no it")),
+        ]
+    )
+
+
 def test_fingerprint_edges(spark):
     rows = fingerprint.compare_edited(edges(spark)).collect()
-    assert len(rows) == len(set(EDGES))  # a row that repeats is one document
+    assert len(rows) == len(EDGES)
+    # Of two equal rows the first is followed by the other.
+    assert sorted(r.near_next for r in rows if r.doc_id == 5)[-1] == 1.0
     by_id = {r.doc_id: r for r in rows if r.doc_id not in (5, 8)}
     assert by_id[1].n_chars == 0 and by_id[1].fingerprint == "" and by_id[1].near_edited == 1.0
     assert by_id[6].fingerprint == by_id[7].fingerprint and by_id[7].near_next == 1.0
