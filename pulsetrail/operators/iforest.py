@@ -187,7 +187,7 @@ def isolation_forest_detection(
     nodes = materialize(fit(rows, features, id_cols, trees, sample_rows, seed))
     sample_size = min(sample_rows, rows.count())
     scored = materialize(score(rows, nodes, features, sample_size, trees, sample_rows))
-    cut = order_statistics(scored, "anomaly_score", (contamination,), list(id_cols)).first()
+    cut = order_statistics(scored, "anomaly_score", (contamination,)).first()
     odd = F.col("anomaly_score") < F.lit(None if cut is None else cut.q0).cast("double")
     return scored.withColumn("anomaly_label", F.when(odd, -1).otherwise(1)).withColumn(
         "is_anomaly", odd

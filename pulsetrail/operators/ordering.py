@@ -1,18 +1,21 @@
 """Total orders without a single-partition window.
 
 ``Window.orderBy`` without a partition key moves every row to one task. The helpers
-here range-partition instead, so ranks, order statistics and bounded row frames over
-one long series run on all executors.
+here range-partition instead, so ranks and bounded row frames over one long series run on
+all executors. Where only a few ranks are wanted they are selected without a sort.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from pulsetrail.materialize import materialize
+from pulsetrail.operators.selection import select_ranks
 
 RANK = "_rank"
 CHUNK, COPY = "_chunk", "_copy"
@@ -95,36 +98,25 @@ def over_frame(
     return compute(spread, window).where(~F.col(COPY)).drop(CHUNK, COPY)
 
 
-def order_statistics(
-    df: DataFrame, value: str, probabilities: Sequence[float], tie_keys: Sequence[str]
-) -> DataFrame:
+def order_statistics(df: DataFrame, value: str, probabilities: Sequence[float]) -> DataFrame:
     """Exact linearly interpolated quantiles as one row: q0, q1, ... and n.
 
-    Equal to ``percentile`` but without holding every distinct value in one
-    aggregation buffer: only the few ranks next to each quantile are gathered.
+    Equal to ``percentile`` but without holding every distinct value in one aggregation
+    buffer, and without a sort: the ranks next to each quantile are selected by radix.
+    Nulls are left out; without any value there is no row.
     """
-    ranked = global_rank(df.where(F.col(value).isNotNull()).select(value, *tie_keys), [value, *tie_keys])
-    counted = ranked.withColumn("_n", ranked.agg(F.count(F.lit(1))).scalar())
-    at = [(F.col("_n") - 1) * p for p in probabilities]
-    wanted = F.array(*[f(a) + 1 for a in at for f in (F.floor, F.ceil)])
-    picked = counted.where(F.array_contains(wanted, F.col(RANK)))
-    bounds = picked.groupBy("_n").agg(
-        *[
-            F.max(F.when(F.col(RANK) == f(a) + 1, F.col(value))).alias(f"_{name}{i}")
-            for i, a in enumerate(at)
-            for name, f in (("lo", F.floor), ("hi", F.ceil))
-        ]
-    )
-    return bounds.select(
-        *[
-            (
-                F.col(f"_lo{i}")
-                + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (a - F.floor(a))
-            ).alias(f"q{i}")
-            for i, a in enumerate(at)
-        ],
-        F.col("_n").alias("n"),
-    )
+    rows = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias(value))
+    places = lambda n: [(n - 1) * p for p in probabilities]
+    ends = lambda n: [f(at) + 1 for at in places(n) for f in (math.floor, math.ceil)]
+    n, found = select_ranks(rows, [value], ends)
+    schema = ", ".join([*[f"q{i} double" for i in range(len(probabilities))], "n long"])
+    if not n:
+        return df.sparkSession.createDataFrame([], schema)
+    quantiles = []
+    for at in places(n):
+        low, high = found[math.floor(at) + 1][0], found[math.ceil(at) + 1][0]
+        quantiles.append(low if low == high else low + (high - low) * (at - math.floor(at)))
+    return df.sparkSession.createDataFrame([(*quantiles, n)], schema)
 
 
 def equal_frequency_cuts(df: DataFrame, keys: Sequence[str], groups: int = 5) -> DataFrame:
@@ -132,23 +124,14 @@ def equal_frequency_cuts(df: DataFrame, keys: Sequence[str], groups: int = 5) ->
 
     One row: ``cuts`` (array of structs of ``keys``) and ``n``. Rank r of n falls in
     group max(1, ceil((r-1) * groups / (n-1))), so group j ends at rank
-    1 + floor(j * (n-1) / groups). Rows are unique by ``keys``.
+    1 + floor(j * (n-1) / groups). Rows are unique by ``keys``, which are not null.
     """
-    ranked = global_rank(df.select(*keys), list(keys))
-    counted = ranked.withColumn("_n", ranked.agg(F.count(F.lit(1))).scalar())
-    ends = F.transform(
-        F.sequence(F.lit(1), F.lit(groups - 1)),
-        lambda j: F.floor(j * (F.col("_n") - 1) / groups) + 1,
-    )
-    hits = F.size(F.filter(ends, lambda end: end == F.col(RANK)))
-    return (
-        counted.withColumn("_hits", hits)
-        .where("_hits > 0")
-        .withColumn("_cut", F.explode(F.array_repeat(F.struct(*keys), F.col("_hits"))))
-        .groupBy(F.col("_n").alias("n"))
-        .agg(F.sort_array(F.collect_list("_cut")).alias("cuts"))
-        .select("cuts", "n")
-    )
+    ends = lambda n: [1 + j * (n - 1) // groups for j in range(1, groups)]
+    n, found = select_ranks(df, list(keys), ends)
+    cut = StructType([df.schema[key] for key in keys])
+    schema = StructType([StructField("cuts", ArrayType(cut)), StructField("n", LongType())])
+    rows = [([found[rank] for rank in ends(n)], n)] if n else []
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def group_number(cuts: Column, n: Column, keys: Sequence[str], groups: int = 5) -> Column:
