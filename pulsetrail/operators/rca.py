@@ -4,26 +4,17 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Mapping, Sequence
-from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DoubleType,
-    IntegerType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-)
 
 from pulsetrail.functions.scalar import filled, fixed, literal_array, present, rounded
 from pulsetrail.functions.tails import f_sf, f_tail
 from pulsetrail.materialize import materialize
-from pulsetrail.operators.ordering import global_rank, over_frame
+from pulsetrail.operators.comoments import AGE, Moments, lagged_moments, merged
 
 ORDER = ("hour_bucket", "region", "device")
 MAX_LAG = 3
@@ -31,6 +22,8 @@ ALPHA = 0.05
 TINY = 1e-6
 EPSILON = 1e-10
 MIN_ROWS = 10
+# A series that varies by less than this share of its level is constant.
+FLAT = 1e-14
 TOP_GRANGER = 3
 TOP_CORRELATIONS = 5
 
@@ -157,35 +150,20 @@ def correlate_metrics(
 
 # ---- Granger tests --------------------------------------------------------------
 
-# Type objects, because parsing a schema string needs a running session.
-_TEST_SCHEMA = StructType(
-    [
-        StructField("f", DoubleType()),
-        StructField("df_num", IntegerType()),
-        StructField("df_den", LongType()),
-        StructField("p", DoubleType()),
-        StructField("error", StringType()),
-    ]
-)
-
+def nested_f_test(state: Moments, lag: int, rows: int, max_lag: int) -> tuple:
+    """F test that the candidate's lags add nothing, from co-moments alone.
 
-def nested_f_test(gram: np.ndarray, lag: int, max_lag: int, rows: int) -> tuple:
-    """F test that the candidate's lags add nothing, from sums of products alone.
-
-    ``gram`` holds the products of (1, y lags, x lags, y). Both regressions have an
-    intercept, so centring by the first row comes first; columns are then scaled to
-    unit length, which keeps the solve well conditioned for metrics of any size.
+    ``state`` is of (y lags, x lags, y). Columns are scaled to unit length, which keeps
+    the solve well conditioned for metrics of any size.
     """
-    n = gram[0, 0]
-    keep = [*range(1, lag + 1), *range(max_lag + 1, max_lag + 1 + lag), 2 * max_lag + 1]
-    centred = gram[np.ix_(keep, keep)] - np.outer(gram[0, keep], gram[0, keep]) / max(n, 1.0)
-    den = int(n) - (2 * lag + 1)
+    centred, den = state.products, state.n - (2 * lag + 1)
     if rows <= 3 * max_lag + 1 or den <= 0:
         allowed = int((rows - 1) / 3) - 1
-        return None, lag, den, None, f"Insufficient observations. Maximum allowable lag is {allowed}"
+        return None, den, None, f"Insufficient observations. Maximum allowable lag is {allowed}"
     lengths = np.sqrt(np.clip(np.diag(centred), 0.0, None))
-    if (lengths <= 1e-12 * np.sqrt(np.diag(gram)[keep] + 1e-300)).any():
-        return None, lag, den, None, "a series is constant"
+    levels = np.sqrt(np.diag(centred) + state.n * state.mean**2)
+    if (lengths <= FLAT * levels).any():
+        return None, den, None, "a series is constant"
     unit = centred / np.outer(lengths, lengths)
 
     def residual(k: int) -> float:
@@ -193,28 +171,45 @@ def nested_f_test(gram: np.ndarray, lag: int, max_lag: int, rows: int) -> tuple:
         return max(1.0 - float(solution @ unit[:k, -1]), 0.0)
 
     if np.linalg.cond(unit[:-1, :-1]) > 1e12:
-        return None, lag, den, None, "the lagged series are collinear"
+        return None, den, None, "the lagged series are collinear"
     restricted, full = residual(lag), residual(2 * lag)
     if full < 1e-13:
-        return None, lag, den, None, "perfect fit of the data"
+        return None, den, None, "perfect fit of the data"
     f = max(restricted - full, 0.0) / lag / (full / den)
-    return f, lag, den, f_tail(f, lag, den), None
-
-
-@F.pandas_udf(_TEST_SCHEMA)
-def _granger_test(
-    products: pd.Series, lag: pd.Series, max_lag: pd.Series, rows: pd.Series
-) -> pd.DataFrame:
-    results = []
-    for flat, k, longest, n in zip(products, lag, max_lag, rows):
-        width = 2 * longest + 2
-        gram = np.zeros((width, width))
-        gram[np.triu_indices(width)] = flat
-        gram = np.triu(gram) + np.triu(gram, 1).T
-        results.append(nested_f_test(gram, int(k), int(longest), int(n)))
-    return pd.DataFrame(results, columns=["f", "df_num", "df_den", "p", "error"]).astype(
-        {"f": "float64", "p": "float64", "df_num": "int32", "df_den": "int64"}
-    )
+    return f, den, f_tail(f, lag, den), None
+
+
+_TESTS = "target string, candidate string, lag int, n long, f double, df_den long, p double, error string"
+
+
+def _series_tests(metrics: list[str], pairs: list[tuple[str, str]], series: list[str], max_lag: int):
+    """All tests of one series, from its states."""
+    at = {name: i * (max_lag + 1) for i, name in enumerate(metrics)}
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values([AGE, "n"], kind="stable")
+        by_age: list[list[Moments]] = [[] for _ in range(max_lag + 1)]
+        for age, n, mean, products in zip(frame[AGE], frame["n"], frame["mean"], frame["products"]):
+            by_age[age].append(Moments(int(n), np.array(mean), np.array(products).reshape(len(mean), -1)))
+        ages = [merged(states) for states in by_age]
+        rows = sum(state.n for state in ages if state)
+        found = []
+        for lag in range(1, max_lag + 1):
+            state = merged(s for s in ages[lag:] if s)
+            if state is None:
+                continue
+            for target, candidate in pairs:
+                y, x = at[target], at[candidate]
+                keep = [*range(y + 1, y + lag + 1), *range(x + 1, x + lag + 1), y]
+                part = Moments(state.n, state.mean[keep], state.products[np.ix_(keep, keep)])
+                f, den, p, error = nested_f_test(part, lag, rows, max_lag)
+                found.append((target, candidate, lag, rows, f, den, p, error))
+        out = pd.DataFrame(found, columns=["target", "candidate", "lag", "n", "f", "df_den", "p", "error"])
+        for place, name in enumerate(series):
+            out.insert(place, name, [frame[name].iloc[0]] * len(out))
+        return out
+
+    return run
 
 
 def granger_tests(
@@ -228,81 +223,15 @@ def granger_tests(
     """One row per (series, target, candidate, lag): F statistic, p-value, error.
 
     ``pairs`` has columns (target, candidate) with names out of ``metrics``; there
-    are at most len(metrics)^2 of them. One pass lags every metric and sums the
-    products of all pairs and lags; each test is then solved from 36 numbers.
+    are at most len(metrics)^2 of them. One pass sums the co-moments of all metrics and
+    lags; every pair and lag is then solved from a part of that matrix.
     """
     metrics = list(metrics)
-    keys = [*series, *[k for k in present(df, order) if k not in series]]
-    rows = df.select(*keys, *[filled(m).alias(f"_{i}") for i, m in enumerate(metrics)])
-    means = rows.groupBy(*series).agg(
-        F.struct(*[F.avg(f"_{i}").alias(f"_{i}") for i in range(len(metrics))]).alias("_means"),
-        F.count(F.lit(1)).alias("_rows"),
-    )
-    if series:
-        rows = rows.join(means, list(series))
-    else:
-        rows = rows.withColumn("_s", means.select(F.struct("_means", "_rows")).scalar()).select(
-            "*", "_s._means", "_s._rows"
-        )
-    names = [f"_{i}" for i in range(len(metrics))]
-    rows = rows.withColumns({n: F.col(n) - F.col(f"_means.{n}") for n in names}).drop("_means")
-
-    def lagged(frame: DataFrame, over: WindowSpec) -> DataFrame:
-        return frame.withColumns(
-            {
-                f"_lags{n}": F.array(*[F.lag(n, k).over(over) for k in range(max_lag + 1)])
-                for n in names
-            }
-        )
-
-    ranked = global_rank(rows.select(*keys, "_rows", *names), keys)
-    lags = over_frame(ranked, lagged, max_lag, series=series).select(
-        *series, "_rows", F.array(*[f"_lags{n}" for n in names]).alias("_x")
-    )
-    position = literal_array(metrics)
-    listed = pairs.select(
-        F.struct(
-            "target",
-            "candidate",
-            F.array_position(position, F.col("target")).cast("int").alias("y"),
-            F.array_position(position, F.col("candidate")).cast("int").alias("x"),
-        ).alias("_pair")
-    ).agg(F.collect_list("_pair"))
-    expanded = (
-        lags.withColumn("_pairs", listed.scalar())
-        .withColumn("_pair", F.explode("_pairs"))
-        .withColumn("lag", F.explode(F.sequence(F.lit(1), F.lit(max_lag))))
-        .select(
-            *series,
-            "_rows",
-            "_pair.target",
-            "_pair.candidate",
-            "lag",
-            F.element_at("_x", F.col("_pair.y")).alias("_y"),
-            F.element_at("_x", F.col("_pair.x")).alias("_x"),
-        )
-        .where(F.get("_y", F.col("lag")).isNotNull())
-    )
-
-    def term(column: str, k: int) -> Column:
-        return F.when(F.col("lag") >= k, F.get(column, F.lit(k))).otherwise(0.0)
-
-    vector = [
-        F.lit(1.0),
-        *[term("_y", k) for k in range(1, max_lag + 1)],
-        *[term("_x", k) for k in range(1, max_lag + 1)],
-        F.get("_y", F.lit(0)),
-    ]
-    width = range(len(vector))
-    products = ", ".join(f"sum(v[{i}] * v[{j}])" for i, j in combinations_with_replacement(width, 2))
-    sums = (
-        expanded.withColumn("v", F.array(*vector))
-        .groupBy(*series, "target", "candidate", "lag")
-        .agg(F.expr(f"array({products})").alias("_gram"), F.max("_rows").alias("n"))
-    )
-    test = _granger_test("_gram", "lag", F.lit(max_lag), "n")
-    return sums.withColumn("_test", test).select(
-        *series, "target", "candidate", "lag", "n", "_test.f", "_test.df_den", "_test.p", "_test.error"
+    listed = [(row["target"], row["candidate"]) for row in pairs.select("target", "candidate").collect()]
+    states = lagged_moments(df, metrics, max_lag, series, order)
+    keys = "".join(f"`{name}` {df.schema[name].dataType.simpleString()}, " for name in series)
+    return states.groupBy(*series).applyInPandas(
+        _series_tests(metrics, listed, list(series), max_lag), keys + _TESTS
     )
 
 
