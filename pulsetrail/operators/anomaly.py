@@ -9,24 +9,15 @@ which is the better choice for new work.
 from __future__ import annotations
 
 import math
-import sys
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pulsetrail.functions.scalar import filled, fixed, literal_array, present, rounded
+from pulsetrail.operators.decay import exponential_hits
 from pulsetrail.operators.iforest import isolation_forest_detection
-from pulsetrail.operators.ordering import (
-    CHUNK,
-    COPY,
-    RANK,
-    chunked,
-    global_rank,
-    order_statistics,
-    over_frame,
-)
+from pulsetrail.operators.ordering import RANK, global_rank, order_statistics, over_frame
 from pulsetrail.schemas import ANOMALIES, METHODS, SEVERITIES
 
 ORDER = ("hour_bucket", "region", "device")
@@ -153,11 +144,11 @@ def iqr_detection(
     df: DataFrame, metric: str, multiplier: float = 2.0, order: Sequence[str] = ORDER
 ) -> DataFrame:
     """Rows outside the interquartile fences of the whole table."""
-    time, *ties = present(df, order)
-    rows = df.withColumn(metric, filled(metric)).select(time, metric, *ties)
+    time, *_ = present(df, order)
+    rows = df.withColumn(metric, filled(metric)).select(time, metric)
     # Three numbers, used a dozen times below: as literals they stay out of the plan,
     # where a subquery would be copied to every place it is used.
-    quartiles = order_statistics(rows, metric, (0.25, 0.5, 0.75), [time, *ties]).first()
+    quartiles = order_statistics(rows, metric, (0.25, 0.5, 0.75)).first()
     q1, q2, q3 = _literals(quartiles, ("q0", "q1", "q2"))
     value, width = F.col(metric), q3 - q1
     low, high = q1 - multiplier * width, q3 + multiplier * width
@@ -175,11 +166,6 @@ def iqr_detection(
     )
 
 
-def _ewma_reach(alpha: float) -> int:
-    """Rows after which a weight is zero as a double."""
-    return math.ceil(math.log(sys.float_info.min * sys.float_info.epsilon) / math.log1p(-alpha))
-
-
 def ewma_detection(
     df: DataFrame,
     metric: str,
@@ -190,10 +176,8 @@ def ewma_detection(
 ) -> DataFrame:
     """Rows far from an exponentially weighted mean that includes them.
 
-    The series is cut into chunks. A chunk borrows as many rows before it as it takes for
-    a weight to become zero as a double, so nothing that could count is left out, and
-    pandas runs its own weighted mean and deviation over each chunk: the cost is linear
-    and large levels lose no digits. Nulls are skipped but still age the rows before
+    The weighted mean and deviation are an associative scan over chunks of the series
+    (``operators.decay``). Nulls are skipped but still age the rows before
     them. Since a window includes its own row, |z| cannot exceed (1 - w) / sqrt(v) with
     the row's weight share w and the deviation's share v: 2.25 for a span of 12. Returns
     the order columns, the zero-based position in the series and the statistics.
@@ -201,19 +185,7 @@ def ewma_detection(
     keys = [*series, *[k for k in present(df, order) if k not in series]]
     typed = df.withColumn(metric, F.nullif(F.col(metric).cast("double"), F.lit(math.nan)))
     ranked = _ordered(typed, series, order, [metric])
-    spread = chunked(ranked, _ewma_reach(2.0 / (span + 1.0)))
-    kept = {"ewma": "double", "ewm_std": "double", "z": "double", **dict(ranked.dtypes)}
-
-    def weigh(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(RANK)
-        windows = rows[metric].astype("float64").ewm(span=span)
-        mean, sd = windows.mean(), windows.std()
-        z = (rows[metric] - mean) / (sd + TINY)
-        found = rows.assign(ewma=mean, ewm_std=sd, z=z)
-        return found.loc[~rows[COPY] & (z.abs() > threshold), list(kept)]
-
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in kept.items())
-    scored = spread.groupBy(*series, CHUNK).applyInPandas(weigh, schema)
+    scored = exponential_hits(ranked, metric, 1.0 - 2.0 / (span + 1.0), threshold, TINY, series)
     first = ranked.groupBy(*series).agg(F.min(RANK).alias("_first"))
     if series:
         same = [F.col(f"s.{name}").eqNullSafe(F.col(f"f.{name}")) for name in series]

@@ -5,7 +5,9 @@ from frames import hourly_frame, to_spark
 from pyspark.sql import functions as F
 
 from pulsetrail.operators import anomaly
+from pulsetrail.operators.decay import exponential_hits
 from pulsetrail.operators.iforest import isolation_forest_detection
+from pulsetrail.operators.ordering import global_rank
 
 
 def _series(spark, values):
@@ -108,13 +110,39 @@ def test_ewma_keeps_its_digits_and_its_memory(spark, kind):
 
 def test_ewma_over_chunks_and_series(spark):
     rng = np.random.default_rng(9)
-    size = anomaly._ewma_reach(2 / 13) + 7_000
+    size = 11_500
     values = pd.Series(rng.normal(0, 1, size).cumsum())
     z = (values - values.ewm(span=12).mean()) / (values.ewm(span=12).std() + 1e-6)
     rows = anomaly.ewma_detection(_series(spark, values), "m", 12, 2.0).orderBy("position").collect()
     assert [r.position for r in rows] == list(np.where(z.abs() > 2.0)[0])
 
 
+@pytest.mark.parametrize(("chunk_rows", "block_chunks"), [(1, 1), (3, 4), (7, 1000), (1000, 2)])
+def test_scan_does_not_depend_on_the_cuts(spark, chunk_rows, block_chunks):
+    rng = np.random.default_rng(10)
+    frames = []
+    for name, n in (("a", 150), ("b", 1), ("c", 67), (None, 40)):
+        values = pd.Series(rng.normal(50, 9, n))
+        values[rng.random(n) < 0.2] = np.nan
+        frames.append(pd.DataFrame({"s": name, "at": range(n), "x": values}))
+    frame = pd.concat(frames)
+    df = spark.createDataFrame(frame.astype({"s": object}), "s string, at long, x double")
+    ranked = global_rank(df.withColumn("x", F.nullif("x", F.lit(float("nan")))), ["s", "at"])
+    found = exponential_hits(ranked, "x", 1 - 2 / 9, 0.6, 1e-6, ["s"], chunk_rows=chunk_rows, block_chunks=block_chunks)
+    assert "Python" not in found._jdf.queryExecution().toString()
+    got = {(r.s, r["at"]): (r.ewma, r.ewm_std, r.z) for r in found.collect()}
+    want = {}
+    for (name,), part in frame.groupby(["s"], dropna=False):
+        window = part["x"].ewm(span=8)
+        mean, sd = window.mean(), window.std()
+        z = (part["x"] - mean) / (sd + 1e-6)
+        for i in np.where(z.abs() > 0.6)[0]:
+            want[(None if name != name else name, int(part["at"].iloc[i]))] = (mean.iloc[i], sd.iloc[i], z.iloc[i])
+    assert got.keys() == want.keys() and len(want) > 40
+    for key, values in want.items():
+        assert got[key] == pytest.approx(values, rel=1e-9)
+
+
 def test_ewma_bound(spark):
     """A jump after a flat stretch is as far as a row can be: 2.25 for a span of 12."""
     rows = anomaly.ewma_detection(_series(spark, [0.0] * 200 + [1e6]), "m", 12, 2.2).collect()
