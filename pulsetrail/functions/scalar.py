@@ -13,6 +13,8 @@ MICROS = 1_000_000
 
 # Exact, order-independent sums of money: a double sum depends on task order.
 MONEY = "decimal(18,6)"
+# A sum of those: ten digits more.
+MONEY_TOTAL = "decimal(28,6)"
 
 # Times are UTC without a zone. Arithmetic goes by intervals from here, never by way of a
 # timestamp with a zone, which would take on the zone of the caller's session.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsetrail.functions.scalar import MONEY, epoch_to_ts, is_event, rounded, whole_days
+from pulsetrail.functions.scalar import MONEY, MONEY_TOTAL, epoch_to_ts, is_event, rounded, whole_days
 from pulsetrail.materialize import materialize
 from pulsetrail.operators.ordering import equal_frequency_cuts, group_number
 from pulsetrail.schemas import RFM_SEGMENTS
@@ -33,8 +33,9 @@ def _purchase_totals(purchases: DataFrame, user: str, order_id: str, amount: str
         .agg(
             F.max("_at").alias("last_purchase"),
             F.count(order_id).alias("frequency"),
-            # An exact sum: monetary ties decide ranks, so they must be real ties.
-            F.coalesce(F.sum(F.col(amount).cast(MONEY)), F.lit(0).cast(MONEY)).alias("monetary"),
+            # An exact sum: monetary ties decide ranks, so they must be real ties. An
+            # amount that money cannot hold counts as missing.
+            F.coalesce(F.sum(F.col(amount).try_cast(MONEY)), F.lit(0).cast(MONEY)).alias("monetary"),
         )
     )
 
@@ -121,7 +122,7 @@ def rfm_rollup(rfm: DataFrame) -> DataFrame:
     # The total comes from the few segment counts, not from the users again.
     counts = rfm.groupBy("segment").agg(
         F.count(F.lit(1)).alias("count"),
-        rounded((F.sum(F.col("monetary").cast(MONEY)) / F.count("monetary")).cast("double"), 2).alias(
+        rounded((F.sum(F.col("monetary").try_cast(MONEY_TOTAL)) / F.count("monetary")).cast("double"), 2).alias(
             "avg_revenue"
         ),
     )

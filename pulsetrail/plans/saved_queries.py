@@ -60,7 +60,7 @@ ORDER BY at
 """
 
 TOP_CATEGORIES = f"""
-SELECT category, {_round('CAST(SUM(CAST(revenue AS DECIMAL(18, 6))) AS DOUBLE)', 2)} AS total_revenue,
+SELECT category, {_round('CAST(SUM(TRY_CAST(revenue AS DECIMAL(18, 6))) AS DOUBLE)', 2)} AS total_revenue,
        COUNT(*) AS total_events
 FROM {{events}}
 WHERE category IS NOT NULL
@@ -81,7 +81,7 @@ ORDER BY hour_bucket
 
 RAW_DAILY_REVENUE = f"""
 SELECT CAST(DATE_TRUNC('DAY', timestamp_dt) AS DATE) AS date, region,
-       CAST(SUM(CAST(revenue AS DECIMAL(18, 6))) AS DOUBLE) AS revenue
+       CAST(SUM(TRY_CAST(revenue AS DECIMAL(18, 6))) AS DOUBLE) AS revenue
 FROM {{events}} GROUP BY 1, 2 ORDER BY date, region
 """
 

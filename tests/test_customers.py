@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from pulsetrail.functions.tails import f_tail
 from pulsetrail.operators.cohort import cohort_analysis
 from pulsetrail.operators.experiment import ab_test_analysis, two_proportion_z
+from pulsetrail.operators.features import session_features, user_features
 from pulsetrail.operators.funnel import compute_funnel
+from pulsetrail.operators.kpis import hourly_kpis
 from pulsetrail.operators.rfm import rfm_rollup, rfm_segmentation
+from pulsetrail.plans.saved_queries import run_saved_query
 from pulsetrail.schemas import FUNNEL_STAGES
 
 
@@ -153,10 +156,12 @@ def test_ab_rejects_a_worse_treatment(spark):
 
 def test_two_proportions(spark):
     row = two_proportion_z(
-        _samples(spark, [1.0] * 100 + [0.0] * 900, [1.0] * 130 + [0.0] * 870)
+        _samples(spark, [1.0] * 180 + [0.0] * 720, [1.0] * 279 + [0.0] * 921)
     ).first()
-    assert row.z == pytest.approx(2.102741, abs=1e-6)
-    assert row.p_value == pytest.approx(0.03549, abs=1e-5)
+    pooled = 459 / 2100
+    z = (279 / 1200 - 0.2) / math.sqrt(pooled * (1 - pooled) * (1 / 900 + 1 / 1200))
+    assert row.z == pytest.approx(z, abs=1e-6)
+    assert row.p_value == pytest.approx(math.erfc(z / math.sqrt(2)), abs=1e-5)
     nothing = two_proportion_z(_samples(spark, [0.0] * 5, [0.0] * 5)).first()
     assert nothing.p_value is None and nothing.recommendation == "Inconclusive"
 
@@ -168,3 +173,31 @@ def test_week_cohorts(spark):
     )
     rows = cohort_analysis(df, "week").orderBy("weeks_since").select(F.col("weeks_since")).collect()
     assert [r[0] for r in rows] == [0, 1]
+
+
+def test_one_revenue_beyond_money(spark):
+    """It counts as missing, in every operator and query that sums revenue."""
+    frame = event_frame(400, 30).assign(event_type="purchase")
+    frame["revenue"] = frame["price"]
+    frame.loc[7, "revenue"] = 2e12
+    events = to_spark(spark, frame)
+    rest = frame.drop(index=7)
+    users = rfm_segmentation(events)
+    got = {r.user_id: r.monetary for r in users.collect()}
+    assert got == pytest.approx(
+        frame["user_id"].drop_duplicates().to_frame().merge(
+            rest.groupby("user_id")["revenue"].sum().reset_index(), how="left"
+        ).fillna(0).set_index("user_id")["revenue"].to_dict()
+    )
+    assert sum(r["count"] for r in rfm_rollup(users).collect()) == frame["user_id"].nunique()
+    total = rest["revenue"].sum()
+    assert sum(r.user_total_revenue or 0 for r in user_features(events).collect()) == pytest.approx(total)
+    assert sum(r.session_revenue or 0 for r in session_features(events).collect()) == pytest.approx(total)
+    hourly = hourly_kpis(events)
+    tables = {"hourly": hourly, "events": events}
+    for name, column in (("top_categories", "total_revenue"), ("raw_daily_revenue", "revenue"), ("daily_revenue", "total_revenue"), ("hourly_kpis", "total_revenue")):
+        rows = run_saved_query(spark, name, tables).collect()
+        assert sum(r[column] or 0 for r in rows) == pytest.approx(total, abs=0.3), name
+    # A user's sum may be larger than a single amount can be.
+    rich = to_spark(spark, event_frame(50, 2).assign(event_type="purchase", revenue=9e11))
+    assert max(r.avg_revenue for r in rfm_rollup(rfm_segmentation(rich)).collect()) > 1e13
