@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle  # noqa: E402
-from pulsetrail.functions.scalar import is_event, rounded  # noqa: E402
+from pulsetrail.functions.scalar import exact_sum, is_event, rounded  # noqa: E402
 from pulsetrail.materialize import materialize, scratch_path  # noqa: E402
 from pulsetrail.operators import anomaly, rca  # noqa: E402
+from pulsetrail.operators.bitmaps import daily_bitmaps, number_users, users_by_period  # noqa: E402
 from pulsetrail.operators.cohort import cohort_analysis  # noqa: E402
 from pulsetrail.operators.experiment import ab_test_analysis, two_proportion_z  # noqa: E402
 from pulsetrail.operators.features import (  # noqa: E402
@@ -37,8 +38,21 @@ from pulsetrail.operators.kpis import (  # noqa: E402
 )
 from pulsetrail.operators.quality import quality_report, validate_schema  # noqa: E402
 from pulsetrail.operators.rfm import rfm_rollup, rfm_segmentation  # noqa: E402
-from pulsetrail.operators.sessions import session_slots, session_spans  # noqa: E402
+from pulsetrail.operators.sessions import (  # noqa: E402
+    open_sessions,
+    session_slots,
+    session_spans,
+    sessionize,
+)
+from pulsetrail.operators.sketches import (  # noqa: E402
+    hourly_sketches,
+    latency_quantile,
+    merge_sketches,
+    unique_users,
+)
+from pulsetrail.plans.incremental import FeatureStore  # noqa: E402
 from pulsetrail.plans.saved_queries import SAVED_QUERIES, run_saved_query  # noqa: E402
+from pulsetrail.schemas import METHODS, SEVERITIES  # noqa: E402
 from pulsetrail.session import prepare  # noqa: E402
 from pulsetrail.sources import lake  # noqa: E402
 from pulsetrail.sources.canonical import (  # noqa: E402
@@ -49,7 +63,7 @@ from pulsetrail.sources.canonical import (  # noqa: E402
     canonical_hourly,
     read_table,
 )
-from pulsetrail.sources.generate import dataset_profile  # noqa: E402
+from pulsetrail.sources.generate import dataset_profile, event_distribution  # noqa: E402
 
 EVENT_TYPES = ("signup", "error", "click", "view", "purchase")
 # A two-day window inside the thirty days of the test events.
@@ -73,6 +87,10 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     return materialize(canonical_events(spark, sf))
 
 
+def _events_without_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(base_events(spark, sf).select("event_id", "user_id", "timestamp_dt"))
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
@@ -107,7 +125,7 @@ def quality_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def profile_q(spark: SparkSession, sf: str) -> DataFrame:
-    profile = dataset_profile(_events(spark, sf))
+    profile = dataset_profile(_events(spark, sf), EVENT_TYPES)
     entries = F.transform(
         F.array_sort(F.map_entries("event_distribution")),
         lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")),
@@ -116,9 +134,83 @@ def profile_q(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(profile)
 
 
+def event_distribution_q(spark: SparkSession, sf: str) -> DataFrame:
+    return event_distribution(base_events(spark, sf))
+
+
+def sessionize_batches_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches of ten days, each with the sessions that the one before left open."""
+    events = _events_without_sessions(spark, sf)
+    labelled, carried = [], None
+    for number in range(4):
+        batch = events.where(F.floor((F.dayofyear("timestamp_dt") - 1) / 10) == number)
+        slots = materialize(session_slots(batch, GAP_S, carried=carried))
+        labelled.append(sessionize(batch, GAP_S, slots=slots))
+        carried = materialize(open_sessions(slots, carried))
+    whole = labelled[0]
+    for part in labelled[1:]:
+        whole = whole.unionByName(part)
+    return whole.select("event_id", "user_id", "session_id", "session_seq")
+
+
+def _store(spark: SparkSession, sf: str) -> FeatureStore:
+    """A first load, two days one by one, and one of them again."""
+    events = _events(spark, sf).withColumn("dt", F.to_date("timestamp_dt"))
+    lake.replace_partitions(events, path := _scratch(spark, "days"))
+    stored = lake.read_table(spark, path)
+    days = [str(row["dt"]) for row in stored.select("dt").distinct().orderBy("dt").collect()]
+    store = FeatureStore(spark, _scratch(spark, "features"))
+    for batch in (days[:-2], days[-2:-1], days[-1:], days[-2:]):
+        store.add(stored, batch)
+    return store
+
+
+def incremental_users_q(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(_store(spark, sf).user_features())
+
+
+def incremental_sessions_q(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(_store(spark, sf).session_features())
+
+
 # ---- KPIs and saved queries -------------------------------------------------------
 
 
+def _sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """The hourly states, as a table."""
+    return materialize(hourly_sketches(canonical_events(spark, sf)))
+
+
+def daily_latency_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily p95 from merged states, next to the mean of the hourly ones."""
+    hourly = _sketches(spark, sf).withColumn("p95", latency_quantile(0.95))
+    day = F.to_date("hour_bucket").alias("day")
+    means = hourly.groupBy(day, "region").agg(rounded(F.avg("p95"), 6).alias("mean_of_p95"))
+    merged = merge_sketches(hourly, day, "region").select(
+        "day", "region", "event_count", latency_quantile(0.95).alias("p95"), latency_quantile(0.5).alias("median")
+    )
+    return merged.join(means, ["day", "region"])
+
+
+def daily_unique_users_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Users per day from merged states, next to the sum of hourly counts."""
+    hourly = _sketches(spark, sf).withColumn("users", unique_users())
+    day = F.to_date("hour_bucket").alias("day")
+    summed = hourly.groupBy(day).agg(F.sum("users").alias("summed_users"))
+    merged = merge_sketches(hourly, day).select("day", unique_users().alias("unique_users"))
+    return merged.join(summed, "day")
+
+
+def users_by_period_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact users per day, week and month from one stored table of bitmaps."""
+    events = base_events(spark, sf)
+    bitmaps = materialize(daily_bitmaps(events, materialize(number_users(events))))
+    whole = users_by_period(bitmaps, "day")
+    for period in ("week", "month"):
+        whole = whole.unionByName(users_by_period(bitmaps, period))
+    return whole
+
+
 def hourly_kpi_q(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(canonical_hourly(spark, sf))
 
@@ -292,37 +384,83 @@ def detect_region_q(spark: SparkSession, sf: str) -> DataFrame:
     return anomaly.detect_all(hourly, region="ASIA", methods=("zscore", "iqr")).drop("device")
 
 
+PLANTED = 5
+
+
+def _with_planted(hourly: DataFrame) -> DataFrame:
+    """The KPI table and a few hours later on that no forest may overlook."""
+    wild = {"error_rate": 0.9, "avg_response_ms": 1e6, "total_revenue": 1e9, "event_count": 10_000_000}
+    ends = hourly.select(F.max("hour_bucket").alias("last")).crossJoin(
+        hourly.sparkSession.range(1, PLANTED + 1).select(F.col("id").alias("later"))
+    )
+    planted = ends.select(
+        (F.col("last") + F.make_dt_interval(hours=F.col("later"))).alias("hour_bucket"),
+        F.lit("PLANTED").alias("region"),
+        F.lit("device").alias("device"),
+        *[(F.lit(v) * (1 + F.col("later") / 100)).cast(hourly.schema[c].dataType).alias(c) for c, v in wild.items()],
+    )
+    return hourly.unionByName(planted, allowMissingColumns=True)
+
+
 def isolation_forest_checks_q(spark: SparkSession, sf: str) -> DataFrame:
-    """What must hold of the forest's scores, whatever the random numbers."""
-    scored = materialize(isolation_forest_q(spark, sf))
-    score, flagged = F.col("anomaly_score"), F.col("is_anomaly")
+    """What must hold of the forest's scores, whatever the random numbers.
+
+    Planted rows must have the worst scores, and scores must differ enough that the cut
+    flags at least half of its share.
+    """
+    table = materialize(_with_planted(_hourly(spark, sf)))
+    scored = materialize(isolation_forest_detection(table, anomaly.FOREST_METRICS))
+    score, flagged, planted = F.col("anomaly_score"), F.col("is_anomaly"), F.col("region") == "PLANTED"
     limit = F.ceil(0.03 * (F.count(F.lit(1)) - 1))
     worst_kept = F.min(F.when(~flagged, score))
     return scored.agg(
         F.count(F.lit(1)).alias("rows"),
         (F.count_if(flagged) <= limit).alias("share_fits"),
+        (F.count_if(flagged) * 2 >= limit).alias("enough_flagged"),
         F.bool_and((F.col("anomaly_label") == -1) == flagged).alias("labels_fit"),
         (F.min(score) >= -1).alias("low_fits"),
         (F.max(score) < 0).alias("high_fits"),
         (F.coalesce(F.max(F.when(flagged, score)), F.lit(-1.0)) <= worst_kept).alias("order_fits"),
+        F.count_if(planted & flagged).alias("planted_flagged"),
+        (F.max(F.when(planted, score)) < F.min(F.when(~planted, score))).alias("planted_first"),
     )
 
 
 def detect_all_checks_q(spark: SparkSession, sf: str) -> DataFrame:
-    """The full report: exact rows of two methods, and the count of the forest's."""
-    found = materialize(detect_all_q(spark, sf))
-    forest = F.col("method") == "isolation_forest"
-    scored = materialize(isolation_forest_q(spark, sf))
-    counted = found.where(forest).agg(F.count(F.lit(1)).alias("n"))
-    wanted = scored.where("is_anomaly").agg(F.count(F.lit(1)).alias("n"))
-    same = counted.select((F.col("n") == wanted.scalar()).alias("same"))
-    return found.where(~forest).drop("device").withColumn("forest_agrees", same.scalar())
+    """The full report over the table with planted rows: exact rows of two methods.
+
+    Of the forest's findings, the hours of the planted rows are there and the share is.
+    """
+    hourly = _hourly(spark, sf)
+    found = materialize(anomaly.detect_all(materialize(_with_planted(hourly)), methods=("isolation_forest",)))
+    last = hourly.agg(F.max("hour_bucket")).scalar()
+    rows = hourly.agg(F.count(F.lit(1))).scalar() + PLANTED
+    forest = found.agg(
+        F.count_if(F.col("timestamp") > last).alias("planted_found"),
+        ((F.count(F.lit(1)) * 2 >= F.ceil(0.03 * (rows - 1))) & (F.count(F.lit(1)) <= F.ceil(0.03 * (rows - 1)))).alias(
+            "forest_share_fits"
+        ),
+        F.bool_and(F.abs(F.col("deviation") + F.col("value")) <= 0.00056).alias("forest_deviations_fit"),
+    )
+    exact = anomaly.detect_all(hourly, methods=("zscore", "iqr")).drop("device")
+    return exact.withColumn("_forest", forest.select(F.struct("*")).scalar()).select(*exact.columns, "_forest.*")
 
 
 def anomaly_report_q(spark: SparkSession, sf: str) -> DataFrame:
     return anomaly.anomaly_report(materialize(anomaly.detect_all(_hourly(spark, sf))))
 
 
+def anomaly_report_flat_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The nested report of the two exact methods, one row per listed finding."""
+    report = anomaly.anomaly_report(_univariate(spark, sf))
+    return report.select(
+        "total_anomalies",
+        *[F.col(f"by_severity.{name}").alias(f"severity_{name}") for name in SEVERITIES],
+        *[F.col(f"by_method.{name}").alias(f"method_{name}") for name in METHODS],
+        F.posexplode("anomalies").alias("place", "finding"),
+    ).select("*", "finding.*").drop("finding", "device")
+
+
 # ---- root causes ----------------------------------------------------------------------
 
 
@@ -407,6 +545,34 @@ def event_partitions_q(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stored_events_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as another writer leaves them, by region and in other widths, read back."""
+    path = _scratch(spark, "stored")
+    events = _events(spark, sf)
+    narrow = events.withColumns(
+        {
+            "event_id": F.col("event_id").cast("string"),
+            "user_id": F.col("user_id").cast("string"),
+            "response_time_ms": F.col("response_time_ms").cast("int"),
+            "hour": F.col("hour").cast("tinyint"),
+        }
+    ).drop("timestamp_dt", "k", "session_seq")
+    lake.write_events_by_region(narrow, path)
+    stored = lake.read_events(spark, path)
+    return _rounded(
+        stored.groupBy("region", "event_type").agg(
+            F.count(F.lit(1)).alias("events"),
+            F.count_distinct("user_id").alias("users"),
+            F.count_distinct("session_id").alias("sessions"),
+            F.min("timestamp_dt").alias("first"),
+            F.max("timestamp_dt").alias("last"),
+            F.sum("response_time_ms").alias("latency"),
+            F.sum("hour").alias("hours"),
+            exact_sum("revenue").alias("revenue"),
+        )
+    )
+
+
 def enriched_layout_q(spark: SparkSession, sf: str) -> DataFrame:
     """Write enriched events by region/device, read each directory back."""
     path = _scratch(spark, "enriched")
@@ -434,6 +600,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_spans": session_spans_q,
     "dq_report": quality_q,
     "dataset_profile": profile_q,
+    "event_distribution": event_distribution_q,
+    "sessionize_batches": sessionize_batches_q,
+    "incremental_users": incremental_users_q,
+    "incremental_sessions": incremental_sessions_q,
+    "daily_latency": daily_latency_q,
+    "daily_unique_users": daily_unique_users_q,
+    "users_by_period": users_by_period_q,
     "hourly_kpi": hourly_kpi_q,
     "hourly_kpi_events": hourly_kpi_events_q,
     "hourly_kpi_short_gap": hourly_kpi_short_gap_q,
@@ -467,6 +640,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "detect_all_checks": detect_all_checks_q,
     "isolation_forest_checks": isolation_forest_checks_q,
     "anomaly_report": anomaly_report_q,
+    "anomaly_report_flat": anomaly_report_flat_q,
     "correlate_metrics": correlate_q,
     "granger_tests": granger_tests_q,
     "granger": granger_q,
@@ -477,6 +651,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rca_report": rca_report_q,
     "event_partitions": event_partitions_q,
     "enriched_layout": enriched_layout_q,
+    "stored_events": stored_events_q,
     "table_stats": table_stats_q,
 }
 

@@ -8,8 +8,6 @@ file listings, hash-generated rows) have no SQL equivalent.
 
 from __future__ import annotations
 
-from pulsetrail.operators.rca import ERROR_ACTIONS
-
 GRANGER_METRICS = ("error_rate", "avg_response_ms", "total_revenue", "event_count")
 GRANGER_PAIRS = [
     ("error_rate", "avg_response_ms"),
@@ -33,6 +31,12 @@ STAGES = ("view", "click", "signup", "purchase")
 Z_METRICS = {"error_rate": 2.5, "total_revenue": 3.0, "event_count": 3.0, "unique_users": 3.0}
 WINDOW = ("2024-01-20 00:00:00", "2024-01-21 23:00:00")
 STEPS = 2000  # Simpson intervals
+# ---- Fixed values: the wording of the report's actions for errors -------------
+ERROR_ACTIONS = (
+    "Check service health dashboard for upstream dependencies",
+    "Review recent deployments in the anomaly time window",
+    "Scale up error-prone services if load-related",
+)
 
 BASE = """
 base AS (
@@ -590,6 +594,24 @@ SELECT ev.* EXCLUDE (session_seq, timestamp, price, revenue), {_r('timestamp', '
        sf.* EXCLUDE (session_id)
 FROM ev JOIN uf USING (user_id) JOIN sf USING (session_id)""",
         "sessionize_gap": f"WITH {CANON} SELECT event_id, user_id, session_id, session_seq FROM ev",
+        "sessionize_batches": f"WITH {CANON} SELECT event_id, user_id, session_id, session_seq FROM ev",
+        "incremental_users": f"WITH {BASE} {USER_FEATURES.format(t='base')}",
+        "incremental_sessions": f"WITH {CANON} {SESSION_FEATURES.format(t='ev')}",
+        "event_distribution": """
+SELECT event_type, count(*) AS events FROM events WHERE event_type IS NOT NULL GROUP BY 1""",
+        "daily_latency": f"""WITH {HOURLY}, means AS (
+  SELECT CAST(hour_bucket AS DATE) AS day, region, {_r('avg(p95_response_ms)', 'mean_of_p95')}
+  FROM hourly GROUP BY 1, 2)
+SELECT CAST(timestamp_dt AS DATE) AS day, ev.region, count(*) AS event_count,
+       quantile_disc(response_time_ms, 0.95) AS p95, quantile_disc(response_time_ms, 0.5) AS median, mean_of_p95
+FROM ev JOIN means ON day = CAST(timestamp_dt AS DATE) AND means.region = ev.region GROUP BY ALL""",
+        "daily_unique_users": f"""WITH {HOURLY}, summed AS (
+  SELECT CAST(hour_bucket AS DATE) AS day, CAST(sum(unique_users) AS BIGINT) AS summed_users FROM hourly GROUP BY 1)
+SELECT day, count(DISTINCT user_id) AS unique_users, summed_users
+FROM ev JOIN summed ON day = CAST(timestamp_dt AS DATE) GROUP BY ALL""",
+        "users_by_period": f"""
+SELECT period, CAST(date_trunc(period, ts) AS DATE) AS start, count(DISTINCT user_id) AS unique_users
+FROM events, (SELECT unnest(['day', 'week', 'month']) AS period) GROUP BY ALL""",
         "session_spans": f"""WITH {CANON}
 SELECT user_id, session_seq, session_id, min(timestamp_dt) AS session_start,
        max(timestamp_dt) AS session_end, count(*) AS session_depth FROM ev GROUP BY 1, 2, 3""",
@@ -609,10 +631,32 @@ FROM ev""",
         "schema_report": SCHEMA_REPORT,
         "detect_region": f"""WITH {CANON}, {_hourly_cte('every', 'region, device')},
 hourly AS (SELECT * FROM every WHERE region = 'ASIA'), {FOUND} SELECT * FROM found""",
-        "detect_all_checks": f"WITH {HOURLY}, {FOUND} SELECT *, true AS forest_agrees FROM found",
+        "detect_all_checks": f"""WITH {HOURLY}, {FOUND}
+SELECT *, CAST(5 AS BIGINT) AS planted_found, true AS forest_share_fits, true AS forest_deviations_fit FROM found""",
         "isolation_forest_checks": f"""WITH {HOURLY}
-SELECT count(*) AS rows, true AS share_fits, true AS labels_fit, true AS low_fits, true AS high_fits,
-       true AS order_fits FROM hourly""",
+SELECT count(*) + 5 AS rows, true AS share_fits, true AS enough_flagged, true AS labels_fit, true AS low_fits,
+       true AS high_fits, true AS order_fits, CAST(5 AS BIGINT) AS planted_flagged, true AS planted_first
+FROM hourly""",
+        "anomaly_report_flat": f"""WITH {HOURLY}, {FOUND},
+counts AS (
+  SELECT count(*) AS total_anomalies,
+         count(*) FILTER (severity = 'critical') AS severity_critical,
+         count(*) FILTER (severity = 'high') AS severity_high,
+         count(*) FILTER (severity = 'medium') AS severity_medium,
+         count(*) FILTER (severity = 'low') AS severity_low,
+         count(*) FILTER (method = 'zscore') AS method_zscore, count(*) FILTER (method = 'iqr') AS method_iqr,
+         count(*) FILTER (method = 'isolation_forest') AS method_isolation_forest FROM found),
+placed AS (
+  SELECT CAST(row_number() OVER (
+    ORDER BY list_position(['critical', 'high', 'medium', 'low'], severity), abs(deviation) DESC,
+             method, metric, timestamp, region NULLS FIRST, value) - 1 AS INTEGER) AS place, * FROM found)
+SELECT * FROM counts, placed WHERE place < 50""",
+        "stored_events": f"""WITH {CANON}
+SELECT region, event_type, count(*) AS events, count(DISTINCT user_id) AS users,
+       count(DISTINCT session_id) AS sessions, min(timestamp_dt) AS first, max(timestamp_dt) AS last,
+       CAST(sum(response_time_ms) AS BIGINT) AS latency, CAST(sum(hour) AS BIGINT) AS hours,
+       {_r('CAST(sum(CAST(revenue AS DECIMAL(18,6))) AS DOUBLE)', 'revenue')}
+FROM ev GROUP BY ALL""",
         "hourly_kpi": f"WITH {HOURLY} {HOURLY_OUT}",
         "hourly_csv": f"WITH {HOURLY} {HOURLY_OUT}",
         "kpi_summary": f"""WITH {HOURLY}

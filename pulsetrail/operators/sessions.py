@@ -31,8 +31,13 @@ def session_slots(
     gap_s: int = DEFAULT_GAP_S,
     user_col: str = "user_id",
     time_col: str = "timestamp_dt",
+    carried: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per (user, slot) with its session number, id and row count."""
+    """One row per (user, slot) with its session number, id and row count.
+
+    ``carried`` is the state that earlier, older batches left (``open_sessions``): numbers go
+    on from there, and a first event within the gap continues the open session.
+    """
     micros = epoch_micros(F.col(time_col))
     slots = (
         events.where(F.col(user_col).isNotNull() & F.col(time_col).isNotNull())
@@ -44,18 +49,37 @@ def session_slots(
         )
     )
     by_user = Window.partitionBy(user_col).orderBy(SLOT)
-    starts = F.when(
-        F.col("_first") - F.lag("_last").over(by_user) <= gap_s * MICROS, 0
-    ).otherwise(1)
+    before, number = F.lag("_last").over(by_user), F.lit(0)
+    if carried is not None:
+        earlier = carried.select(user_col, F.col("_last").alias("_open"), F.col("session_seq").alias("_number"))
+        slots = slots.join(earlier, user_col, "left")
+        before, number = F.coalesce(before, "_open"), F.coalesce("_number", F.lit(0))
+    starts = F.when(F.col("_first") - before <= gap_s * MICROS, 0).otherwise(1)
     running = by_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         slots.withColumn("_starts", starts)
-        .withColumn("session_seq", F.sum("_starts").over(running))
+        .withColumn("session_seq", number + F.sum("_starts").over(running))
         .withColumn("session_id", F.concat_ws("-", user_col, "session_seq"))
         .select(user_col, SLOT, "_first", "_last", "_rows", "session_seq", "session_id")
     )
 
 
+def open_sessions(
+    slots: DataFrame, carried: DataFrame | None = None, user_col: str = "user_id"
+) -> DataFrame:
+    """State for the next batch: per user the last time and number of a session.
+
+    One row per user ever seen. It is what ``session_slots`` takes as ``carried``; batches
+    must come in order of time, as day partitions do.
+    """
+    state = slots.select(user_col, "_last", "session_seq")
+    if carried is not None:
+        state = state.unionByName(carried.select(user_col, "_last", "session_seq"))
+    return state.groupBy(user_col).agg(
+        F.max("_last").alias("_last"), F.max("session_seq").alias("session_seq")
+    )
+
+
 def sessionize(
     events: DataFrame,
     gap_s: int = DEFAULT_GAP_S,

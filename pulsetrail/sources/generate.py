@@ -22,7 +22,7 @@ from pulsetrail.functions.scalar import (
     is_event,
     literal_array,
 )
-from pulsetrail.schemas import CATEGORIES, EVENTS, OK_CODE
+from pulsetrail.schemas import CATEGORIES, EVENT_TYPES, EVENTS, OK_CODE
 
 # ---- Fixed values -------------------------------------------------------------
 # Shares and parameters of the simulated shop. They define the data set.
@@ -225,12 +225,24 @@ def events_from_ids(
     ).select(*EVENTS.names)
 
 
-def dataset_profile(events: DataFrame) -> DataFrame:
+def event_distribution(events: DataFrame) -> DataFrame:
+    """Events per type: (event_type, events). Events without a type are left out."""
+    return (
+        events.where("event_type is not null")
+        .groupBy("event_type")
+        .agg(F.count(F.lit(1)).alias("events"))
+    )
+
+
+def dataset_profile(events: DataFrame, event_types: Sequence[str] = EVENT_TYPES) -> DataFrame:
     """One row that describes a data set: totals, distincts, distribution, range.
 
     Distinct counts run as their own narrow aggregates, so the wide one never
-    expands its input.
+    expands its input. The distribution lists the given types that occur, and all others
+    together as ``other``: its size is fixed. ``event_distribution`` counts any types.
     """
+    others = ~F.col("event_type").isin(*event_types)
+    counts = {kind: F.count_if(is_event(kind)) for kind in sorted(event_types)} | {"other": F.count_if(others)}
     totals = events.agg(
         F.count(F.lit(1)).alias("total_events"),
         F.coalesce(F.avg(is_event("error").cast("double")), F.lit(0.0)).alias("error_rate"),
@@ -238,17 +250,9 @@ def dataset_profile(events: DataFrame) -> DataFrame:
         F.avg("response_time_ms").alias("avg_response_ms"),
         F.min("timestamp").alias("_from"),
         F.max("timestamp").alias("_to"),
+        F.array(*counts.values()).alias("_counts"),
     )
-    distribution = (
-        events.where("event_type is not null")
-        .groupBy("event_type")
-        .count()
-        .agg(
-            F.map_from_entries(
-                F.sort_array(F.collect_list(F.struct("event_type", "count")))
-            ).alias("event_distribution")
-        )
-    )
+    distribution = F.map_from_arrays(literal_array(counts), F.col("_counts"))
     date_range = F.concat_ws(
         " to ", *[epoch_to_ts(F.col(c)).cast("string") for c in ("_from", "_to")]
     )
@@ -256,7 +260,7 @@ def dataset_profile(events: DataFrame) -> DataFrame:
         "total_events",
         events.agg(F.count_distinct("user_id")).scalar().alias("unique_users"),
         events.agg(F.count_distinct("session_id")).scalar().alias("unique_sessions"),
-        distribution.scalar().alias("event_distribution"),
+        F.map_filter(distribution, lambda _, n: n > 0).alias("event_distribution"),
         "error_rate",
         "total_revenue",
         "avg_response_ms",
