@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pulsetrail.functions.scalar import filled, fixed, literal_array, present, rounded
+from pulsetrail.materialize import materialize
 from pulsetrail.operators.decay import exponential_hits
 from pulsetrail.operators.iforest import isolation_forest_detection
 from pulsetrail.operators.ordering import RANK, global_rank, order_statistics, over_frame
@@ -246,7 +247,11 @@ def seasonal_residuals(
     for name in series:
         effect = effect.withColumnRenamed(name, f"_s_{name}")
         same = same & F.col(name).eqNullSafe(F.col(f"_s_{name}"))
-    if not series:
+    if series:
+        # Written, so that the planner knows its size: up to the broadcast limit no row of
+        # the table is shuffled, and a series with many rows is no hot key.
+        effect = materialize(effect)
+    else:
         # One row per hour of the day, whatever the size of the table.
         effect = F.broadcast(effect)
     return (
