@@ -64,6 +64,7 @@ from pulsetrail.sources.canonical import (  # noqa: E402
     read_table,
 )
 from pulsetrail.sources.generate import dataset_profile, event_distribution  # noqa: E402
+from pulsetrail.sources.layout import write_clustered  # noqa: E402
 
 EVENT_TYPES = ("signup", "error", "click", "view", "purchase")
 # A two-day window inside the thirty days of the test events.
@@ -573,6 +574,21 @@ def stored_events_q(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def clustered_slice_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Events written along a curve of (hour, region, user); two days of a region read back."""
+    path = _scratch(spark, "clustered")
+    hour = F.floor(F.col("timestamp") / 3600).alias("epoch_hour")
+    events = _events(spark, sf).select(hour, "region", "user_id", "event_type", "revenue")
+    write_clustered(materialize(events), path, ["epoch_hour", "region", "user_id"])
+    first = F.floor(F.unix_timestamp(F.lit(WINDOW[0]).cast("timestamp")) / 3600)
+    stored = lake.read_table(spark, path)
+    return _rounded(
+        stored.where((F.col("region") == "ASIA") & F.col("epoch_hour").between(first, first + 47))
+        .groupBy("user_id")
+        .agg(F.count(F.lit(1)).alias("events"), exact_sum("revenue").alias("revenue"))
+    )
+
+
 def enriched_layout_q(spark: SparkSession, sf: str) -> DataFrame:
     """Write enriched events by region/device, read each directory back."""
     path = _scratch(spark, "enriched")
@@ -652,6 +668,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_partitions": event_partitions_q,
     "enriched_layout": enriched_layout_q,
     "stored_events": stored_events_q,
+    "clustered_slice": clustered_slice_q,
     "table_stats": table_stats_q,
 }
 

@@ -651,6 +651,10 @@ placed AS (
     ORDER BY list_position(['critical', 'high', 'medium', 'low'], severity), abs(deviation) DESC,
              method, metric, timestamp, region NULLS FIRST, value) - 1 AS INTEGER) AS place, * FROM found)
 SELECT * FROM counts, placed WHERE place < 50""",
+        "clustered_slice": f"""WITH {CANON}
+SELECT user_id, count(*) AS events, {_r('CAST(sum(CAST(revenue AS DECIMAL(18,6))) AS DOUBLE)', 'revenue')}
+FROM ev WHERE region = 'ASIA' AND timestamp_dt >= TIMESTAMP '{WINDOW[0]}'
+  AND timestamp_dt < TIMESTAMP '{WINDOW[0]}' + INTERVAL 2 DAY GROUP BY 1""",
         "stored_events": f"""WITH {CANON}
 SELECT region, event_type, count(*) AS events, count(DISTINCT user_id) AS users,
        count(DISTINCT session_id) AS sessions, min(timestamp_dt) AS first, max(timestamp_dt) AS last,
