@@ -150,41 +150,6 @@ class Model:
         return -np.log2(chance)
 
 
-def _order(columns: list[np.ndarray], counts: np.ndarray) -> tuple:
-    """Hashes and discounted shares of grams, hashes and weights of their contexts."""
-    ones, twos = np.count_nonzero(counts == 1), np.count_nonzero(counts == 2)
-    discount = min(max(ones / (ones + 2 * twos), 0.1), 0.9) if ones + twos else 0.5
-    context = hash_columns(columns[:-1]) if len(columns) > 1 else np.zeros(len(counts), np.uint64)
-    keys, inverse = np.unique(context, return_inverse=True)
-    total = np.bincount(inverse, weights=counts)
-    weight = discount * np.bincount(inverse) / total
-    return hash_columns(columns), (counts - discount) / total[inverse], keys, weight
-
-
-def kneser_ney(columns: list[np.ndarray], counts: np.ndarray) -> list[tuple]:
-    """All orders, highest last, from the counts of the longest grams of each place.
-
-    Columns hold symbols, the predicted one last, 0 where the word had not begun.
-    """
-    orders = []
-    grams, uses = [c[columns[0] > 0] for c in columns], counts[columns[0] > 0]
-    for k in range(ORDER, 0, -1):
-        orders.append(_order(grams, uses))
-        if k == 1:
-            break
-        # Below: one count per different symbol in front, and what starts a word as it is.
-        first = (columns[ORDER - k] == 0) & (columns[ORDER - k + 1] > 0) if k > 2 else np.zeros(len(counts), bool)
-        begun = [c[first] for c in columns[ORDER - k + 1 :]]
-        shorter = [np.concatenate([a, b]) for a, b in zip(grams[1:], begun)]
-        grams, uses = distinct_rows(shorter, np.concatenate([np.ones(len(uses), np.int64), counts[first]]))
-    return orders[::-1]
-
-
-def build_model(rows: dict[str, tuple[list[np.ndarray], np.ndarray]]) -> Model:
-    """One model from the gram columns and counts of each language."""
-    return join_orders({language: kneser_ney(*found) for language, found in rows.items()})
-
-
 def join_orders(by_language: dict[str, list[tuple]]) -> Model:
     """One model from the orders of each language."""
     languages = sorted(by_language)
@@ -225,7 +190,11 @@ def train(docs: DataFrame) -> Model | None:
 
 
 def _orders(counted: DataFrame) -> list[DataFrame]:
-    """lang, symbols and count c of the grams of each order, as in ``kneser_ney``."""
+    """lang, symbols and count c of the grams of each order.
+
+    Of the longest grams how often they occur; below, how many different symbols come
+    before a gram, and how often it occurs where it starts a word, as nothing precedes it.
+    """
     found = [counted.where(F.col(_COLUMNS[0]) > 0).select("lang", *_COLUMNS, F.col("n").alias("c"))]
     for k in range(ORDER - 1, 0, -1):
         columns, front = _COLUMNS[ORDER - k :], _COLUMNS[ORDER - k - 1]
@@ -239,7 +208,7 @@ def _orders(counted: DataFrame) -> list[DataFrame]:
 
 
 def _listed(grams: DataFrame, order: int, languages: list[str]) -> dict[str, tuple]:
-    """What ``_order`` returns for each language, from all grams of an order."""
+    """Per language: hashes and discounted shares of grams, hashes and weights of contexts."""
     columns = _COLUMNS[ORDER - order :]
     context = columns[:-1]
     sizes = grams.groupBy("lang").agg(F.count_if(F.col("c") == 1).alias("ones"), F.count_if(F.col("c") == 2).alias("twos"))

@@ -81,24 +81,28 @@ class PlainKneserNey:
         ]
 
 
-def model_of(words):
-    grams = Grams(list(words))
-    uses = np.array(list(words.values()))[grams.word[grams.predicted]]
-    return langid.build_model({"xx": distinct_rows(grams.columns(langid.ORDER), uses)})
+def letter_words(seed, n, size):
+    rng = np.random.default_rng(seed)
+    pool = ["".join(rng.choice(list("abcdefghij"), rng.integers(1, 8))) for _ in range(size)]
+    return [pool[int(i)] for i in rng.integers(size, size=n)]
+
+
+def model_of(spark, words):
+    return langid.train(table(spark, [(1, " ".join(words.elements()), "xx", None)]))
 
 
-def test_kneser_ney_against_the_recursion():
-    words = Counter(w for w in prose(4, 3000, 90).split())
+def test_kneser_ney_against_the_recursion(spark):
+    words = Counter(letter_words(4, 3000, 90))
     words.update({"a": 5, "aa": 3, "aaaa": 2, "b": 1, "äö": 4})
-    plain, model = PlainKneserNey(words, langid.ORDER), model_of(words)
+    plain, model = PlainKneserNey(words, langid.ORDER), model_of(spark, words)
     for word in [*list(words)[:60], "zzz", "aaaaab", "éé", "q"]:
         got = model.bits(Grams([word]))[:, 0]
         assert got == pytest.approx(plain.bits(word)), word
 
 
-def test_kneser_ney_sums_to_one():
-    words = Counter(prose(5, 2000, 60).split())
-    model = model_of(words)
+def test_kneser_ney_sums_to_one(spark):
+    words = Counter(letter_words(5, 2000, 60))
+    model = model_of(spark, words)
     letters = sorted({c for w in words for c in w})
     for start in ["", letters[0], letters[1] + letters[2], next(iter(words))[:3]]:
         total = sum(2.0 ** -model.bits(Grams([start + c]))[len(start), 0] for c in letters)
@@ -108,12 +112,6 @@ def test_kneser_ney_sums_to_one():
         assert total == pytest.approx(1, abs=2e-4)
 
 
-def letter_words(seed, n, size):
-    rng = np.random.default_rng(seed)
-    pool = ["".join(rng.choice(list("abcdefghij"), rng.integers(1, 8))) for _ in range(size)]
-    return [pool[int(i)] for i in rng.integers(size, size=n)]
-
-
 def test_trained_model_counts_what_is_rare(spark):
     # 1.6 million grams, so that one use is less than a millionth of them.
     text, rare = " ".join(letter_words(1, 10_000, 500)), "ñandú zyxwv abzzé"
@@ -176,14 +174,14 @@ def test_langid_edges(spark):
     assert langid.identify(empty(spark), F.lit(False)).count() == 0
 
 
-def test_word_cache_changes_nothing(monkeypatch):
-    model = model_of(Counter(prose(6, 500).split()))
-    words = sorted(set(prose(7, 800).split()))
+def test_word_cache_changes_nothing(spark, monkeypatch):
+    model = model_of(spark, Counter(letter_words(6, 500, 80)))
+    words = sorted(set(letter_words(7, 800, 300)))
     costs, sizes = model.words(words)
     again, _ = model.words(words[::-1])
     monkeypatch.setattr(langid, "CACHE_WORDS", 10)
     monkeypatch.setattr(langid, "BLOCK_WORDS", 7)
-    small = model_of(Counter(prose(6, 500).split()))
+    small = model_of(spark, Counter(letter_words(6, 500, 80)))
     for _ in range(2):
         other, lengths = small.words(words)
         assert np.allclose(other, costs) and (lengths == sizes).all()
