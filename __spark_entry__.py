@@ -403,6 +403,18 @@ def _with_planted(hourly: DataFrame) -> DataFrame:
     return hourly.unionByName(planted, allowMissingColumns=True)
 
 
+def detect_gaps_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The KPI table with nulls, NaN and a metric that is not there."""
+    hour = F.hour("hour_bucket")
+    gaps = (
+        _hourly(spark, sf)
+        .withColumn("error_rate", F.when(hour % 7 != 3, F.when(hour % 5 == 0, F.lit(float("nan"))).otherwise(F.col("error_rate"))))
+        .withColumn("avg_response_ms", F.when(hour % 6 != 1, F.col("avg_response_ms")))
+        .drop("unique_users")
+    )
+    return anomaly.detect_all(materialize(gaps), methods=("zscore", "iqr")).drop("device")
+
+
 def isolation_forest_checks_q(spark: SparkSession, sf: str) -> DataFrame:
     """What must hold of the forest's scores, whatever the random numbers.
 
@@ -452,9 +464,10 @@ def anomaly_report_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def anomaly_report_flat_q(spark: SparkSession, sf: str) -> DataFrame:
-    """The nested report of the two exact methods, one row per listed finding."""
+    """The nested report of the two exact methods, written, read, one row per listed finding."""
     report = anomaly.anomaly_report(_univariate(spark, sf))
-    return report.select(
+    path = lake.write_report(report, _scratch(spark, "report"))
+    return spark.read.schema(report.schema).json(path).select(
         "total_anomalies",
         *[F.col(f"by_severity.{name}").alias(f"severity_{name}") for name in SEVERITIES],
         *[F.col(f"by_method.{name}").alias(f"method_{name}") for name in METHODS],
@@ -653,6 +666,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "isolation_forest": isolation_forest_q,
     "detect_all": detect_all_q,
     "detect_region": detect_region_q,
+    "detect_gaps": detect_gaps_q,
     "detect_all_checks": detect_all_checks_q,
     "isolation_forest_checks": isolation_forest_checks_q,
     "anomaly_report": anomaly_report_q,

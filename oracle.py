@@ -631,6 +631,11 @@ FROM ev""",
         "schema_report": SCHEMA_REPORT,
         "detect_region": f"""WITH {CANON}, {_hourly_cte('every', 'region, device')},
 hourly AS (SELECT * FROM every WHERE region = 'ASIA'), {FOUND} SELECT * FROM found""",
+        "detect_gaps": f"""WITH {CANON}, {_hourly_cte('every', 'region, device')},
+hourly AS (SELECT * REPLACE (
+  CASE WHEN hour(hour_bucket) % 7 = 3 OR hour(hour_bucket) % 5 = 0 THEN 0.0::DOUBLE ELSE error_rate END AS error_rate,
+  CASE WHEN hour(hour_bucket) % 6 = 1 THEN 0.0::DOUBLE ELSE avg_response_ms END AS avg_response_ms) FROM every),
+{FOUND} SELECT * FROM found WHERE metric <> 'unique_users'""",
         "detect_all_checks": f"""WITH {HOURLY}, {FOUND}
 SELECT *, CAST(5 AS BIGINT) AS planted_found, true AS forest_share_fits, true AS forest_deviations_fit FROM found""",
         "isolation_forest_checks": f"""WITH {HOURLY}
