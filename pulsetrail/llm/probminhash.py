@@ -40,7 +40,7 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsetrail.llm.wordbatch import Words, bounded, map_texts, split_ascii
@@ -347,21 +347,25 @@ def _pairs(rows: DataFrame, bags: DataFrame, compared: DataFrame | None) -> Data
     about = ("kinds", "total", "heavy", "most")
     # A pair meets in every band it shares: it is made in the least of those where one of
     # the two is a pivot.
-    listed = F.collect_list("band")
-    bands = rows.groupBy("member").agg(listed.alias("bands"))
-    led = rows.where("pivot").groupBy("member").agg(listed.alias("led"))
-    carried = rows.join(bags.select("member", *about, *each), "member").join(bands, "member")
-    pivots = carried.where("pivot").join(led, "member").select(
+    own = Window.partitionBy("member")  # a row per band
+    listed = rows.withColumns(
+        {
+            "bands": F.collect_list("band").over(own),
+            "led": F.collect_list(F.when(F.col("pivot"), F.col("band"))).over(own),
+        }
+    )
+    carried = listed.join(bags.select("member", *about, *each), "member")
+    pivots = carried.where("pivot").select(
         F.col("band").alias("band2"),
         F.col("member").alias("hub"),
         F.col("label").alias("hub_label"),
         *[F.col(f"m{i}").alias(f"w{i}") for i in range(MAP_LONGS)],
         *[F.col(c).alias(f"{c}2") for c in about],
-        "led",
+        F.col("led").alias("hub_led"),
     )
     across = (F.col("band") == F.col("band2")) & (F.col("label") != F.col("hub_label"))
-    least = F.col("band") == F.array_min(F.array_intersect("bands", "led"))
-    both = carried.join(pivots, across & _may_be_similar() & least)
+    least = F.col("band") == F.array_min(F.array_intersect("bands", "hub_led"))
+    both = carried.drop("led").join(pivots, across & _may_be_similar() & least)
     pairs = both.groupBy(
         F.least("member", "hub").alias("low"), F.greatest("member", "hub").alias("high")
     ).agg(F.min("hub").alias("pivot"))
