@@ -221,6 +221,10 @@ def hourly_kpi_events_q(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(hourly_kpis(_events(spark, sf)))
 
 
+def hourly_kpi_exact_q(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(hourly_kpis(_events(spark, sf), exact_p95=True))
+
+
 def hourly_kpi_short_gap_q(spark: SparkSession, sf: str) -> DataFrame:
     """With a pause of five minutes, users have several sessions in an hour."""
     return _rounded(canonical_hourly(spark, sf, 300))
@@ -638,6 +642,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "users_by_period": users_by_period_q,
     "hourly_kpi": hourly_kpi_q,
     "hourly_kpi_events": hourly_kpi_events_q,
+    "hourly_kpi_exact": hourly_kpi_exact_q,
     "hourly_kpi_short_gap": hourly_kpi_short_gap_q,
     "schema_report": schema_report_q,
     "hourly_csv": hourly_csv_q,

@@ -627,6 +627,7 @@ SELECT count(*) AS total_events, count(DISTINCT user_id) AS unique_users,
        CAST(min(timestamp_dt) AS VARCHAR) || ' to ' || CAST(max(timestamp_dt) AS VARCHAR) AS date_range
 FROM ev""",
         "hourly_kpi_events": f"WITH {HOURLY} {HOURLY_OUT}",
+        "hourly_kpi_exact": f"WITH {HOURLY} {HOURLY_OUT}",
         "hourly_kpi_short_gap": f"WITH {HOURLY.replace('21600000000', '300000000')} {HOURLY_OUT}",
         "schema_report": SCHEMA_REPORT,
         "detect_region": f"""WITH {CANON}, {_hourly_cte('every', 'region, device')},

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsetrail.functions.scalar import exact_sum, hour_bucket, is_event
@@ -10,10 +12,28 @@ from pulsetrail.functions.scalar import exact_sum, hour_bucket, is_event
 KPI_KEYS = ("hour_bucket", "region", "device")
 
 
+def discrete_quantile(counted: DataFrame, keys: Sequence[str], value: str, percent: int, name: str) -> DataFrame:
+    """The least value that at least ``percent`` of the events of a group do not exceed.
+
+    ``counted`` has the keys, the value and ``n``, in rows that may share a value. Exact, and
+    in memory that Spark manages: the values of a group are counted, then ordered.
+    """
+    per_value = counted.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        per_value.withColumns({"_upto": F.sum("n").over(upto), "_all": F.sum("n").over(group)})
+        .where(F.col("_upto") * 100 >= F.col("_all") * percent)
+        .groupBy(*keys)
+        .agg(F.min(value).alias(name))
+    )
+
+
 def hourly_kpis(
     events: DataFrame,
     dims: tuple[str, ...] = ("region", "device"),
     approximate_distinct: bool = False,
+    exact_p95: bool = False,
 ) -> DataFrame:
     """KPIs per hour and dimension.
 
@@ -22,10 +42,13 @@ def hourly_kpis(
     grouping as fine as the sessions; this way each of the three reads only its own
     columns, and the wide one shrinks to the KPI grain before it shuffles (3x
     faster on 10M events). ``approximate_distinct`` uses fixed-size sketches instead
-    and takes a single pass.
+    and takes a single pass. ``exact_p95`` counts latencies instead of sketching them: exact
+    in groups of any size and in memory that Spark can spill, but slower where a group has
+    as many latencies as events (half as long again on 2M events).
     """
     keys = ("hour_bucket", *dims)
-    hourly = events.withColumn("hour_bucket", hour_bucket(F.col("timestamp"))).groupBy(*keys)
+    bucketed = events.withColumn("hour_bucket", hour_bucket(F.col("timestamp")))
+    hourly = bucketed.groupBy(*keys)
     errors = F.count_if(is_event("error"))
     rows = F.count(F.lit(1))
     measures = {
@@ -43,7 +66,12 @@ def hourly_kpis(
         return hourly.agg(*[m.alias(name) for name, m in measures.items()])
 
     exact = {"unique_users": "user_id", "unique_sessions": "session_id"}
-    pieces = hourly.agg(*[m.alias(name) for name, m in measures.items() if name not in exact])
+    apart = {*exact, "p95_response_ms"} if exact_p95 else exact.keys()
+    pieces = hourly.agg(*[m.alias(name) for name, m in measures.items() if name not in apart])
+    if exact_p95:
+        counted = bucketed.groupBy(*keys, "response_time_ms").agg(rows.alias("n"))
+        slow = discrete_quantile(counted, keys, "response_time_ms", 95, "p95_response_ms")
+        pieces = pieces.unionByName(slow, allowMissingColumns=True)
     for name, column in exact.items():
         pieces = pieces.unionByName(
             hourly.agg(F.count_distinct(column).alias(name)), allowMissingColumns=True

@@ -7,7 +7,7 @@ from customer -> nation -> region, sessions from a six-hour gap.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsetrail.functions.scalar import (
@@ -20,7 +20,7 @@ from pulsetrail.functions.scalar import (
     literal_array,
 )
 from pulsetrail.materialize import materialize
-from pulsetrail.operators.kpis import KPI_KEYS
+from pulsetrail.operators.kpis import KPI_KEYS, discrete_quantile
 from pulsetrail.operators.sessions import SLOT, session_slots, sessionize, slot_of
 from pulsetrail.schemas import CATEGORIES, ERROR_CODES, HOURLY, OK_CODE
 
@@ -139,21 +139,13 @@ def canonical_hourly(spark: SparkSession, sf_dir: str, gap_s: int = GAP_S) -> Da
         F.sum("error_count").alias("error_count"),
         (F.sum("error_count") / F.sum("event_count")).alias("error_rate"),
     )
-    counted = base.where("response_time_ms is not null").groupBy("hour_bucket", "device", "user_id", "response_time_ms").agg(
-        rows.alias("n")
-    )
-    per_value = (
-        counted.join(regions, "user_id", "left")
-        .groupBy("hour_bucket", _known("region").alias("region"), "device", "response_time_ms")
-        .agg(F.sum("n").alias("n"))
-    )
-    group = Window.partitionBy("hour_bucket", "region", "device")
-    upto = group.orderBy("response_time_ms").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    slow = (
-        per_value.withColumns({"upto": F.sum("n").over(upto), "all": F.sum("n").over(group)})
-        .where(F.col("upto") * 100 >= F.col("all") * 95)
-        .groupBy(*KPI_KEYS)
-        .agg(F.min("response_time_ms").alias("p95_response_ms"))
+    counted = base.groupBy("hour_bucket", "device", "user_id", "response_time_ms").agg(rows.alias("n"))
+    slow = discrete_quantile(
+        counted.join(regions, "user_id", "left").withColumn("region", _known("region")),
+        KPI_KEYS,
+        "response_time_ms",
+        95,
+        "p95_response_ms",
     )
     # Exactly one side holds each measure of a key; grouping keeps null devices.
     both = measured.unionByName(slow, allowMissingColumns=True)
