@@ -276,13 +276,30 @@ def _buckets(sketches: DataFrame) -> DataFrame:
     return materialize(each.join(full, "band"))
 
 
+def _halves(buckets: DataFrame) -> DataFrame:
+    """digest, halves: of each member 32 bits of its bucket in every band, which no other bucket
+    of that band has; null where it has no bucket, or another bucket has the same."""
+    half = F.shiftright("band", 32).cast("int").alias("half")
+    each = buckets.select("number", half, "band", "member")
+    shared = materialize(
+        each.groupBy("number", "half").agg((F.min("band") < F.max("band")).alias("shared")).where("shared")
+    )
+    own = F.when(F.col("shared").isNull(), F.col("half"))
+    found = each.join(shared, ["number", "half"], "left").groupBy(F.col("member").alias("digest")).agg(
+        F.map_from_entries(F.collect_list(F.struct("number", own.alias("half")))).alias("found")
+    )
+    numbers = F.sequence(F.lit(0), F.lit(BANDS - 1))
+    return found.select("digest", F.transform(numbers, lambda k: F.try_element_at("found", k)).alias("halves"))
+
+
 def _bags(rows: DataFrame, sketches: DataFrame, buckets: DataFrame) -> DataFrame:
     """member, value, weight of every member of a bucket, from one row that has its text."""
     chosen = (
-        sketches.join(buckets.select(F.col("member").alias("digest")).distinct(), "digest", "left_semi")
+        sketches.select("digest", "mark")
         .groupBy("digest")
-        .agg(F.min("mark").alias("mark"), F.first("bands").alias("bands"))
-        .select("mark", F.transform("bands", lambda b: F.shiftright(b, 32).cast("int")).alias("halves"))
+        .agg(F.min("mark").alias("mark"))
+        .join(_halves(buckets), "digest")
+        .select("mark", "halves")
     )
     chosen = materialize(chosen)
     texts = rows.select("mark", "text").join(chosen, "mark")
@@ -341,11 +358,11 @@ def _may_be_similar() -> Column:
 def _meets_first() -> Column:
     """A pair meets in every band it shares; it is made in the first one that the pivot leads.
 
-    Earlier bands are compared by halves of 32 bits. That two unequal ones agree, and the pair
-    is not made at all, has a chance of 24 / 2^32, against 5e-5 of sharing no band.
+    Earlier bands are compared by halves of 32 bits, which tell the buckets of a band apart;
+    a bucket that they do not tell has none, and a pair in it is made again at worst.
     """
     earlier = F.sequence(F.lit(0), F.col("number"))
-    same = lambda k: F.get("halves", k) == F.get("halves2", k)
+    same = lambda k: F.coalesce(F.get("halves", k) == F.get("halves2", k), F.lit(False))
     return ~F.exists(earlier, lambda k: (k < F.col("number")) & (F.getbit("led", k) == 1) & same(k))
 
 

@@ -137,6 +137,22 @@ def test_shortened_model_sums_to_one(spark, monkeypatch):
         assert total == pytest.approx(1, abs=2e-4)
 
 
+def test_shortened_model_scores_as_the_whole_one(spark, monkeypatch):
+    rows = [(i, " ".join(letter_words(i, 60, 300)) + (" Ünï" if i % 5 == 0 else ""), "xyz"[i % 3], None) for i in range(30)]
+    rows += [(40, " ".join(letter_words(2, 60, 900)), None, None), (40, None, "x", None), (41, "", "y", None), rows[3], rows[3]]
+    docs = table(spark, rows)
+    order = ["doc_id", "mark", "lang_pred"]
+    want = langid.identify(docs, F.col("doc_id") > 24).orderBy(*order).collect()
+    monkeypatch.setattr(langid, "MODEL_GRAMS", 150)
+    model, tables = langid.train_tables(docs)
+    assert len(model.grams[3]) <= 150 and tables[3][0].count() > 500
+    got = langid.identify(docs, F.col("doc_id") > 24).orderBy(*order).collect()
+    same = ("doc_id", "mark", "held_out", "lang_pred", "rejected")
+    assert [[r[c] for c in same] for r in got] == [[r[c] for c in same] for r in want]
+    for column in ("score", "entropy"):
+        assert [r[column] or 0 for r in got] == pytest.approx([r[column] or 0 for r in want], rel=1e-4)
+
+
 def test_held_out_languages(spark):
     docs = documents(spark)
     found = langid.identify(docs, fold(4) == 2).where("held_out").join(docs, "doc_id")

@@ -106,6 +106,19 @@ def test_buckets_of_several_classes(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in rows} == plain_classes(texts)
 
 
+def test_buckets_with_equal_halves_lose_no_pair(spark):
+    # Members 1 and 2 meet in band 1; in band 0 they have buckets that agree in 32 bits.
+    one, two = (7 << 32) + 1, (7 << 32) + 2
+    rows = [(one, 0, 1), (one, 0, 3), (two, 0, 2), (two, 0, 4), (9 << 32, 1, 1), (9 << 32, 1, 2)]
+    buckets = spark.createDataFrame(rows, "band long, number int, member long")
+    halves = {r.digest: r.halves for r in near._halves(buckets).collect()}
+    assert halves[1][:3] == halves[2][:3] == [None, 9, None] and halves[3][:2] == [None, None]
+    pair = spark.createDataFrame([(1, halves[1], halves[2], 3)], "number int, halves array<int>, halves2 array<int>, led int")
+    assert pair.where(near._meets_first()).count() == 1
+    pair = spark.createDataFrame([(2, halves[1], halves[2], 3)], "number int, halves array<int>, halves2 array<int>, led int")
+    assert pair.where(near._meets_first()).count() == 0
+
+
 def test_components(spark):
     rng = random.Random(4)
     pairs = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(260)] + [(i, i + 1) for i in range(500, 560)]
