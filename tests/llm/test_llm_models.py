@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pulsetrail.llm import langid, quality, suffix_tree
 from pulsetrail.llm.ngrams import END, START, Grams, distinct_rows, hash_columns
 from pulsetrail.llm.queries import fold
-from pulsetrail.llm.wordbatch import split_ascii
+from pulsetrail.llm.wordbatch import Words, split_ascii, split_on
 
 SF = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -397,6 +397,24 @@ def test_tree_holds_every_context_of_the_fixed_count(spark, monkeypatch, head):
         assert got[i] == pytest.approx(want)
 
 
+def test_token_hashes_depend_on_bytes_alone():
+    tokens = ["a", "b", "ab", "ba", "a\0", "é", "abcdefgh", "abcdefghi", "abcdefgh\0", "x" * 16, "x" * 24, "ü" * 9, ""]
+    alone = [suffix_tree._hashes(split_on(pa.array([t]), " "))[0] for t in tokens]
+    together = suffix_tree._hashes(Words(np.zeros(0, int), pa.array(["-", *tokens, "+"]).slice(1, len(tokens)), None))
+    assert together.tolist() == alone and len(set(alone)) == len(tokens)
+
+
+def test_what_is_joined_is_rare_by_count(spark, monkeypatch):
+    # It was rare by its share of all places, so that a growing part was joined as texts grew.
+    monkeypatch.setattr(suffix_tree, "HEAD_SHARE", 1e-3)
+    keys = lambda counts: spark.createDataFrame([(n,) for n in counts], "n long")
+    head = lambda counts: sorted(r.n for r in keys(counts).where(suffix_tree._head(keys(counts))).collect())
+    few, rare, more = [2] * 40, [2, 3, 19] * 300, [20] * 500 + [31, 32, 10**6] * 100
+    assert head(few) == few and head([]) == []
+    assert head(rare) == [] and head(rare * 9 + more) == sorted(more)
+    assert head(rare + more * 3) == [32] * 300 + [10**6] * 300  # at most 1 / HEAD_SHARE
+
+
 def test_suffix_tree_edges(spark):
     docs = edges(spark)
     rows = suffix_tree.score_texts(docs, F.col("doc_id") == 9).collect()
