@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.wordbatch import Words, map_texts, ragged_take, split_on
+from pulsetrail.llm.wordbatch import Words, map_texts, per_slice, ragged_take, split_on
 from pulsetrail.materialize import materialize
 
 MARK = "▁"
@@ -51,6 +51,10 @@ UNKNOWN_PENALTY = 10
 CHUNK_CHARS = 32_768
 FAN = 64
 CACHE_WORDS = 200_000
+# Characters and ids that the known words hold, at most: without spaces a word has up to a chunk.
+CACHE_CHARS = 4_000_000
+# Bytes of chunks that a worker holds as Python's strings and lists at once.
+PART_CHARS = 2_000_000
 IDS = "doc_id long, ids array<int>"
 
 
@@ -93,6 +97,7 @@ class Pieces:
         behind = {b for p in self.score for a, b in zip(p, p[1:]) if a.isalpha()}
         self.marks = "".join(sorted(set(_MARKS) - behind))
         self.cache: dict[str, bytes] = {}
+        self.cached = 0
 
     def path(self, text: str, start: int, stop: int, reach: int | None = None) -> tuple[float, list[int]]:
         """Best score and ids of ``text[start:stop]``; -inf if a single piece must not end there.
@@ -170,8 +175,10 @@ class Pieces:
             found = known.get(word)
             if found is None:
                 found = self.word(word)
-                if len(known) < CACHE_WORDS:
+                size = len(word) + len(found) // 4
+                if len(known) < CACHE_WORDS and self.cached + size <= CACHE_CHARS:
                     known[word] = found
+                    self.cached += size
             out.append(found)
         return out
 
@@ -343,17 +350,16 @@ def _chunks(giants: DataFrame, chunk_chars: int, longest: int) -> DataFrame:
 
 
 def _matrix_rows(model: str):
-    def run(batches):
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         pieces = _pieces(model)
-        for batch in batches:
-            rows = [
-                Chunk(t, a).matrix(pieces, pieces.longest).ravel()
-                for t, a in zip(batch["text"].to_pylist(), batch["ahead"].to_pylist())
-            ]
-            cells = pa.array([r.tolist() for r in rows], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch["key"], batch["part"], cells], names=["key", "part", "m"])
+        rows = [
+            Chunk(t, a).matrix(pieces, pieces.longest).ravel()
+            for t, a in zip(batch["text"].to_pylist(), batch["ahead"].to_pylist())
+        ]
+        cells = pa.array([r.tolist() for r in rows], pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays([batch["key"], batch["part"], cells], names=["key", "part", "m"])
 
-    return run
+    return per_slice(work, part_chars=PART_CHARS)
 
 
 def _square(cells) -> np.ndarray:
@@ -401,15 +407,14 @@ def _scan(chunks: DataFrame, model: str) -> DataFrame:
 
 
 def _chunk_ids(model: str):
-    def run(batches):
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         pieces = _pieces(model)
-        for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("text", "ahead", "entry", "leave")]
-            ids = [np.frombuffer(Chunk(t, a).ids(pieces, e, x), np.int32) for t, a, e, x in zip(*columns)]
-            lists = pa.array(ids, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch["key"], batch["part"], lists], names=["key", "part", "ids"])
+        columns = [batch[c].to_pylist() for c in ("text", "ahead", "entry", "leave")]
+        ids = [np.frombuffer(Chunk(t, a).ids(pieces, e, x), np.int32) for t, a, e, x in zip(*columns)]
+        lists = pa.array(ids, pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays([batch["key"], batch["part"], lists], names=["key", "part", "ids"])
 
-    return run
+    return per_slice(work, part_chars=PART_CHARS)
 
 
 def _encode_giants(giants: DataFrame, model: str, chunk_chars: int) -> DataFrame:

@@ -160,6 +160,30 @@ def test_chunks_give_the_whole_path(pieces):
         assert pieces.decode(np.array(got), np.array([0, len(got)])) == [text.encode()]
 
 
+def test_known_words_are_bounded_by_size(monkeypatch):
+    monkeypatch.setattr(scan, "CACHE_CHARS", 1000, raising=False)
+    pieces = scan.Pieces(MODEL)
+    words = [scan.MARK + "日本x" * 50 + str(i) for i in range(30)]
+    want = [pieces.word(w) for w in words]
+    for _ in range(2):
+        assert pieces.solve(words) == want
+        held = sum(len(w) + len(ids) // 4 for w, ids in pieces.cache.items())
+        assert 0 < held <= 1000
+
+
+def test_chunks_are_worked_on_in_parts(pieces, monkeypatch):
+    monkeypatch.setattr(scan, "PART_CHARS", 40, raising=False)
+    parts = [scan.MARK + f"part{scan.MARK}{i}{scan.MARK}of a text" for i in range(9)]
+    zeros = pa.array([0] * 9, pa.int32())
+    columns = [pa.array(["k"] * 9), pa.array(range(9)), pa.array(parts), pa.array([""] * 9), zeros, zeros]
+    batch = pa.RecordBatch.from_arrays(columns, names=["key", "part", "text", "ahead", "entry", "leave"])
+    whole = [np.frombuffer(scan.Chunk(p, "").ids(pieces, 0, 0), np.int32).tolist() for p in parts]
+    ids = list(scan._chunk_ids(MODEL)(iter([batch])))
+    assert [x for b in ids for x in b["ids"].to_pylist()] == whole and len(ids) > 2
+    cells = list(scan._matrix_rows(MODEL)(iter([batch])))
+    assert [x for b in cells for x in b["part"].to_pylist()] == list(range(9)) and len(cells) > 2
+
+
 def test_product_is_associative(pieces):
     rng = np.random.default_rng(1)
     a, b, c = (np.where(rng.random((9, 9)) < 0.5, -np.inf, -rng.integers(0, 99, (9, 9)).astype(float)) for _ in range(3))
