@@ -112,7 +112,7 @@ class Model:
     costs: np.ndarray | None = None
     sizes: np.ndarray | None = None
 
-    def words(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    def words_and_lost(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
         """Costs in bits by language, and numbers of symbols, of remains of words; numbers of
         words with grams to be looked up, whose cost is left out, and the symbols of each.
 
@@ -137,6 +137,11 @@ class Model:
             self.costs[first:last], self.sizes[first:last] = costs[at[:room]], sizes[at[:room]]
         return costs, sizes, np.concatenate(owners), [np.concatenate(c) for c in zip(*lost)]
 
+    def words(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Costs and numbers of symbols alone."""
+        costs, sizes, *_ = self.words_and_lost(distinct)
+        return costs, sizes
+
     def _fresh(self, remains: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
         out = np.zeros((len(remains), len(self.languages)))
         grams, source = _grams(remains)
@@ -376,7 +381,7 @@ def _predict_exactly(
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = split_ascii(batch["text"])
         codes, remains = _letters(words)
-        costs, symbols, owner, columns = shared.value.words(remains)
+        costs, symbols, owner, columns = shared.value.words_and_lost(remains)
         count = text_sums(symbols[codes].astype(np.int64), words.starts)
         sums = np.column_stack([text_sums(c[codes].astype(float), words.starts) for c in costs.T])
         edges = np.arange(batch.num_rows + 1) * sums.shape[1]
@@ -445,7 +450,7 @@ def predict(
         model = shared.value
         words = split_ascii(batch["text"])
         codes, remains = _letters(words)
-        costs, symbols, *_ = model.words(remains)
+        costs, symbols = model.words(remains)
         count = text_sums(symbols[codes].astype(float), words.starts)
         entropy = np.column_stack([text_sums(c[codes].astype(float), words.starts) for c in costs.T])
         entropy /= np.maximum(count, 1)[:, None]
