@@ -415,6 +415,49 @@ def test_what_is_joined_is_rare_by_count(spark, monkeypatch):
     assert head(rare + more * 3) == [32] * 300 + [10**6] * 300  # at most 1 / HEAD_SHARE
 
 
+@pytest.mark.parametrize("length, parts, spread", [(1, 1, False), (1, 5, True), (2, 5, False), (3, 70_000, True)])
+def test_transitions_travel_packed(length, parts, spread):
+    # One row for each transition and task took more disk than the texts.
+    texts = [prose(seed, 300, 12) for seed in range(4)] + ["", "one", None]
+    streams = [["<", *WORD.findall((t or "").translate(LOWER)), ">"] for t in texts]
+    grams = Counter(tuple(s[i : i + length + 1]) for s in streams for i in range(len(s) - length))
+    words = sorted({t for s in streams for t in s[1:-1]})
+    keys = dict(zip(words, suffix_tree._hashes(Words(np.zeros(0, int), pa.array(words), None)).tolist()))
+    keys |= {"<": int(suffix_tree._HASHES[suffix_tree._START]), ">": int(suffix_tree._HASHES[suffix_tree._END])}
+
+    def key(tokens):
+        out = np.array([keys[tokens[0]] if tokens else 0])
+        for t in tokens[1:]:
+            out = suffix_tree._follow(out, np.array([keys[t]]))
+        return int(out[0])
+
+    common = np.sort([keys[w] for w in words[::2]])
+    hot = np.sort([key(g[:-1]) for g in list(grams)[::3]]) if spread else np.zeros(0, np.int64)
+    bits = np.full(1 << (suffix_tree.MAP_BITS - 6), -1, np.int64)
+    batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.string())], names=["text"]) for x in (texts[:3], texts[3:])]
+    packed = pa.Table.from_batches([r for b in batches for r in suffix_tree._count_moves(iter([b]), length, bits, common, hot, parts)])
+    assert packed.num_rows <= 2 * parts
+    got = {}
+    for part in suffix_tree._whole_parts(packed.sort_by("part").to_batches(max_chunksize=3)):
+        for r in suffix_tree._add_moves(part, common).to_pylist():
+            assert got.setdefault(r["move"], r) is r
+    want = {key(g): n for g, n in grams.items() if n >= suffix_tree.PAIR_COUNT}
+    assert {k: r["n"] for k, r in got.items()} == want
+    for g in grams:
+        if key(g) in got:
+            r = got[key(g)]
+            low = key(g[1:]) if length > 1 else keys[g[1]]
+            assert (r["context"], r["low"], r["ends"]) == (key(g[:-1]), low, g[-1] == ">")
+
+
+def test_tree_is_the_same_in_any_number_of_parts(spark, monkeypatch):
+    docs = table(spark, [(i, prose(i % 20, 400, 30), None, None) for i in range(40)])
+    scores = lambda: {r.doc_id: r.score for r in suffix_tree.score_texts(docs, F.col("doc_id") > 30).collect()}
+    want = scores()
+    monkeypatch.setattr(suffix_tree, "PART_BYTES", 5_000)
+    assert scores() == pytest.approx(want)
+
+
 def test_suffix_tree_edges(spark):
     docs = edges(spark)
     rows = suffix_tree.score_texts(docs, F.col("doc_id") == 9).collect()
