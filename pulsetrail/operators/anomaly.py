@@ -338,12 +338,15 @@ def _forest_findings(
     )
 
 
+_TIES = ["method", "metric", "timestamp", "region", "value"]
+
+
 def top_anomalies(anomalies: DataFrame, k: int = 50) -> DataFrame:
     """The ``k`` worst findings: by severity, then by size of the deviation."""
     return anomalies.orderBy(
         _severity_rank(F.col("severity")),
         F.desc(F.abs("deviation")),
-        *["method", "metric", "timestamp", "region", "value"],
+        *_TIES,
     ).limit(k)
 
 
@@ -380,6 +383,7 @@ def anomaly_report(anomalies: DataFrame, k: int = 50) -> DataFrame:
     fields = F.struct(
         _severity_rank(F.col("severity")).alias("_rank"),
         (-F.abs("deviation")).alias("_size"),
+        F.struct(*_TIES).alias("_ties"),
         F.struct(*[F.col(name) for name in ANOMALIES.names]).alias("_finding"),
     )
     worst = top_anomalies(anomalies, k).agg(
